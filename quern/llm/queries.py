@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from quern.llm import quality_rules
+from quern.llm import mixing, quality_rules
 
 QUERIES = {
     "op6_quality_rules": quality_rules.query,
+    "op10_mixing": mixing.query,
 }
 ORACLES = {
     "op6_quality_rules": quality_rules.SQL,
+    "op10_mixing": mixing.SQL,
 }
