@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quern.llm import mixing, quality_rules
+from quern.llm import mixing, quality_rules, sharding
 
 QUERIES = {
+    "op4_sharding": sharding.query,
     "op6_quality_rules": quality_rules.query,
     "op10_mixing": mixing.query,
 }
