@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -34,7 +35,7 @@ def slices(batch: pa.RecordBatch, at: int, most: int = 8_000_000) -> Iterator[pa
     if batch.nbytes <= most:
         yield batch
         return
-    sizes = [len(x) if x is not None else 0 for x in (y.as_buffer() if y.is_valid else None for y in batch.column(at).cast(pa.large_binary()))]
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
     total = 0
     for i in range(n):
         if total and total + sizes[i] > most:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quern.llm import mixing, quality_rules, sharding
+from quern.llm import byte_bpe, mixing, quality_rules, sharding
 
 QUERIES = {
     "op4_sharding": sharding.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_byte_bpe": byte_bpe.query,
     "op10_mixing": mixing.query,
 }
 ORACLES = {
