@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quern.llm import byte_bpe, mixing, quality_rules, sharding
+from quern.llm import byte_bpe, mixing, quality_rules, sharding, simhash
 
 QUERIES = {
     "op4_sharding": sharding.query,
     "op6_quality_rules": quality_rules.query,
     "op7_byte_bpe": byte_bpe.query,
+    "op9_simhash": simhash.query,
     "op10_mixing": mixing.query,
 }
 ORACLES = {
