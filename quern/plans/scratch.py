@@ -37,11 +37,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _swept(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._quern_path = path
     return out
 
 
+def bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Like stored(), but bucketed by keys into spark.sql.shuffle.partitions buckets: joins on keys leave its rows where they are."""
+    spark = df.sparkSession
+    unique = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{unique}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).format("parquet").option("path", path).saveAsTable(unique)
+    _swept(spark)
+    out = spark.table(unique)
+    out._quern_path = path
+    return out
+
+
+def _swept(spark: SparkSession) -> None:
+    """Let the driver drop plans that are done, so that executors delete their shuffle files now, not at some later collection."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables made by stored(). Nothing may still be going to read them."""
     for t in tables:
