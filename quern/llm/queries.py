@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quern.llm import byte_bpe, mixing, quality_rules, sharding, simhash
+from quern.llm import byte_bpe, mixing, quality_rules, sharding, simhash, substring
 
 QUERIES = {
+    "op3_substring": substring.query,
     "op4_sharding": sharding.query,
     "op6_quality_rules": quality_rules.query,
     "op7_byte_bpe": byte_bpe.query,
@@ -12,6 +13,7 @@ QUERIES = {
     "op10_mixing": mixing.query,
 }
 ORACLES = {
+    "op3_substring": substring.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op10_mixing": mixing.SQL,
 }
