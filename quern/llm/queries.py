@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quern.llm import byte_bpe, mixing, quality, quality_rules, sharding, simhash, substring, toxicity
+from quern.llm import byte_bpe, mixing, neighbours, quality, quality_rules, sharding, simhash, substring, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
     "op3_substring": substring.query,
     "op4_sharding": sharding.query,
+    "op5_neighbours": neighbours.query,
     "op6_quality_rules": quality_rules.query,
     "op7_byte_bpe": byte_bpe.query,
     "op8_toxicity": toxicity.query,
