@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quern.llm import byte_bpe, mixing, neighbours, quality, quality_rules, sharding, simhash, substring, toxicity
+from quern.llm import byte_bpe, html_text, mixing, neighbours, quality, quality_rules, sharding, simhash, substring, toxicity
 
 QUERIES = {
     "op1_quality": quality.query,
+    "op2_html_text": html_text.query,
     "op3_substring": substring.query,
     "op4_sharding": sharding.query,
     "op5_neighbours": neighbours.query,
