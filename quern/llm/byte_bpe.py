@@ -7,8 +7,10 @@ a heap; a rank's merges are applied at all its positions, left to right, and onl
 pairs to the left and right of a merge enter the index anew. If a new pair ranks
 below the one at work, that pair comes first, as it would word by word.
 
-A block is an Arrow batch of at most 8 MB of text, so memory is bounded; pieces that
-were encoded before in the same worker are looked up (the cache is emptied when full).
+A block is an Arrow batch of at most 8 MB of text, so memory is bounded; what was encoded
+before in the same worker is looked up, from one lone space to the next (the cache is
+emptied when full). Patterns must begin a piece at every space that stands between two
+characters which are not white space, as those of the public byte-level vocabularies do.
 
 Defined cases: a null text counts as an empty one (no ids, digests of nothing); null
 ids and repeated rows are kept as they are; an empty table gives an empty result;
@@ -20,19 +22,29 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.batches import arrow_schema, column, mapped, slices
 
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000
 #: Words replayed together, and pieces of one text handled at a time.
-CORPUS_WORDS = 50_000
+CORPUS_WORDS = 200_000
 CHUNK = 200_000
+STRETCH = 1_000_000
+#: Beyond so many characters nothing is kept for later texts.
+LONG = 256
+#: Bits of a token id, and how many places of a rank are worth a vector step.
+WIDTH, MANY = 24, 32
+#: Any character that a pattern could take for white space counts here.
+_ALONE = re.compile(r"(?<=\S) (?=\S)")
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -43,6 +55,33 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class Recent:
+    """A bounded cache of two generations: what was used in the last one or two outlives a change."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old, self.long = most, {}, {}, []
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that must be made; the others are in ``young`` afterwards."""
+        young, out = self.young, []
+        for k in keys.difference(young):
+            v = self.old.get(k)
+            if v is None:
+                out.append(k)
+                if len(k) > LONG:
+                    self.long.append(k)
+            else:
+                young[k] = v
+        return out
+
+    def tidy(self) -> None:
+        for k in self.long:
+            self.young.pop(k, None)
+        self.long.clear()
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+
+
 class Codec:
     """Encoder and decoder for one vocabulary."""
 
@@ -51,61 +90,86 @@ class Codec:
 
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {i: b for b, i in ranks.items()}
-        self.bytes = [ranks[bytes([i])] for i in range(256)]
-        self.pair_ranks: dict[tuple[int, int], int] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def pair_rank(self, a: int, b: int) -> int:
-        """The rank of merging a and b; -1 if the vocabulary has no such token."""
-        r = self.pair_ranks.get((a, b))
-        if r is None:
-            r = self.pair_ranks[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-        return r
+        self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        #: Two tokens, as one number, to the rank of merging them: every cut of every token into two.
+        self.pair_ranks = {a << WIDTH | c: r for b, r in ranks.items() for k in range(1, len(b)) if (a := ranks.get(b[:k])) is not None and (c := ranks.get(b[k:])) is not None}
+        pairs = np.array(sorted(self.pair_ranks), np.int64)
+        self.pair_keys, self.pair_values = np.r_[pairs, np.iinfo(np.int64).max], np.array([*map(self.pair_ranks.__getitem__, pairs.tolist()), -1], np.int64)
+        self.cache, self.spaced = Recent(CACHED_PIECES), Recent(CACHED_PIECES)
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of merging each left with its right; -1 where the vocabulary has no such token."""
+        key = left.astype(np.int64) << WIDTH | right
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_values[at], -1)
 
     def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """The ids of each word, all words merged together in rank order."""
-        token: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        firsts = []
-        for w in words:
-            at = len(token)
-            firsts.append(at)
-            token += map(self.bytes.__getitem__, w)
-            before += range(at - 1, at + len(w) - 1)
-            after += range(at + 1, at + len(w) + 1)
-            if w:
-                before[at] = after[-1] = -1
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        n = int(sizes.sum())
+        token, after, before = (array("i", bytes(4 * n)) for _ in range(3))
+        tokens, afters, befores = (np.frombuffer(x, np.int32) for x in (token, after, before))
+        word = np.repeat(np.arange(len(words)), sizes)
+        tokens[:] = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
+        same = np.r_[word[1:] == word[:-1], False] if n else np.empty(0, bool)
+        afters[:] = np.where(same, np.arange(1, n + 1), -1)
+        befores[:] = np.where(np.r_[False, same[:-1]], np.arange(-1, n - 1), -1) if n else 0
         where: dict[int, list[int]] = {}
+        heap: list[int] = []
+
+        def enter(ranks: np.ndarray, at: np.ndarray) -> None:
+            keep = np.flatnonzero(ranks >= 0)
+            order = keep[np.argsort(ranks[keep], kind="stable")]
+            ranks, at = ranks[order], at[order].tolist()
+            cuts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]]).tolist() if len(at) else []
+            for r, lo, hi in zip(ranks[cuts].tolist(), cuts, [*cuts[1:], len(at)], strict=False):
+                if r in where:
+                    where[r] += at[lo:hi]
+                else:
+                    where[r] = at[lo:hi]
+                    heapq.heappush(heap, r)
+
+        p = np.flatnonzero(same)
+        enter(self.pairs(tokens[p], tokens[p + 1]), p)
         known = self.pair_ranks
-        for p, n in enumerate(after):
-            if n >= 0:
-                r = known.get((token[p], token[n]))
-                if r is None:
-                    r = self.pair_rank(token[p], token[n])
-                if r >= 0:
-                    where.setdefault(r, []).append(p)
-        heap = list(where)
-        heapq.heapify(heap)
         while heap:
             rank = heapq.heappop(heap)
             places = where.pop(rank, None)
             if places is None:
                 continue
+            if len(places) >= MANY:  # one merge in every word at a time, the leftmost; a word's next one waits for lower ranks
+                p = np.sort(np.array(places))
+                p = p[(tokens[p] >= 0) & (afters[p] >= 0)]
+                p = p[self.pairs(tokens[p], tokens[afters[p]]) == rank]
+                first = np.r_[True, word[p[1:]] != word[p[:-1]]] if len(p) else np.empty(0, bool)
+                rest, p = p[~first].tolist(), p[first]
+                if rest:
+                    where[rank] = rest
+                    heapq.heappush(heap, rank)
+                gone = afters[p]
+                tokens[p], tokens[gone] = rank, -1
+                follows = afters[gone]
+                afters[p] = follows
+                has = follows >= 0
+                right, follows = p[has], follows[has]
+                befores[follows] = right
+                left = befores[p]
+                has = left >= 0
+                left, p = left[has], p[has]
+                enter(np.r_[self.pairs(tokens[right], tokens[follows]), self.pairs(tokens[left], tokens[p])], np.r_[right, left])
+                continue
             places.sort()
             for done, p in enumerate(places, 1):
                 n = after[p]
-                if n < 0 or token[p] < 0 or known.get((token[p], token[n]), -1) != rank:
+                if n < 0 or token[p] < 0 or known.get(token[p] << WIDTH | token[n], -1) != rank:
                     continue  # a neighbour's merge has changed this pair
                 token[p], token[n] = rank, -1
                 n = after[p] = after[n]
                 lower = False
                 if n >= 0:
                     before[n] = p
-                    r = known.get((rank, token[n]))
-                    if r is None:
-                        r = self.pair_rank(rank, token[n])
-                    if r >= 0:
+                    r = known.get(rank << WIDTH | token[n])
+                    if r is not None:
                         if r not in where:
                             where[r] = []
                             heapq.heappush(heap, r)
@@ -113,10 +177,8 @@ class Codec:
                         lower = r < rank
                 n = before[p]
                 if n >= 0:
-                    r = known.get((token[n], rank))
-                    if r is None:
-                        r = self.pair_rank(token[n], rank)
-                    if r >= 0:
+                    r = known.get(token[n] << WIDTH | rank)
+                    if r is not None:
                         if r not in where:
                             where[r] = []
                             heapq.heappush(heap, r)
@@ -126,51 +188,79 @@ class Codec:
                     where.setdefault(rank, []).extend(places[done:])
                     heapq.heappush(heap, rank)
                     break
-        out = []
-        for w, p in zip(words, firsts, strict=True):
-            ids = []
-            p = p if w else -1
-            while p >= 0:
-                ids.append(token[p])
-                p = after[p]
-            out.append(tuple(ids))
-        return out
-
-    def pieces(self, text: str) -> Iterator[list[str]]:
-        """The pieces of a text, in lists of bounded length."""
-        if len(text) < 4_000_000:
-            yield self.pattern.findall(text)
-            return
-        found = (m.group() for m in self.pattern.finditer(text))
-        while part := list(islice(found, CHUNK)):
-            yield part
+        alive = tokens >= 0
+        ids = tokens[alive].tolist()
+        ends = np.cumsum(np.bincount(word[alive], minlength=len(words))).tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Put the ids of all pieces that are not there yet into the cache."""
-        new = list({p for p in pieces if p not in self.cache})
-        whole = []
-        for p in new:
+        young, whole = self.cache.young, []
+        for p in self.cache.missing(set(pieces)):
             i = self.ranks.get(raw := p.encode())
             if i is None:
                 whole.append((p, raw))
             else:
-                self.cache[p] = (i,)
+                young[p] = (i,)
         for k in range(0, len(whole), CORPUS_WORDS):
             part = whole[k : k + CORPUS_WORDS]
-            self.cache.update(zip((p for p, _ in part), self.replay([raw for _, raw in part]), strict=True))
+            young.update(zip((p for p, _ in part), self.replay([raw for _, raw in part]), strict=True))
+
+    def cut(self, chunks: list[str]) -> Iterator[tuple[str, list[tuple[int, ...]]]]:
+        """(chunk, ids of each piece of " " + chunk)."""
+        pieces = [self.pattern.findall(f" {c}") for c in chunks]
+        self.learn(chain.from_iterable(pieces))
+        cache = self.cache.young
+        for c, found in zip(chunks, pieces, strict=True):
+            yield c, [cache[p] for p in found]
+
+    def know(self, chunks: Iterable[str]) -> None:
+        """Put the ids of " " + chunk into ``spaced`` for all chunks that are not there yet."""
+        for c, ids in self.cut(self.spaced.missing(set(chunks))):
+            self.spaced.young[c] = tuple(chain.from_iterable(ids))
+
+    def tidy(self) -> None:
+        """Bound the memory of what is kept from text to text."""
+        self.cache.tidy()
+        self.spaced.tidy()
+
+    def head(self, text: str) -> Iterator[list[tuple[int, ...]]]:
+        """The ids of the pieces of a text, in lists of bounded length."""
+        found = self.pattern.finditer(text)
+        while part := [m.group() for m in islice(found, CHUNK)]:
+            self.learn(part)
+            yield [self.cache.young[p] for p in part]
+
+    def encoded(self, text: str) -> Iterator[tuple[int, ...]]:
+        """The ids of a text, stretch by stretch."""
+        for head, chunks in stretches(text):
+            for ids in self.head(head):
+                yield from ids
+            self.know(chunks)
+            yield from map(self.spaced.young.__getitem__, chunks)
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for part in self.pieces(text):
-            self.learn(part)
-            for p in part:
-                out += self.cache[p]
-        return out
+        return list(chain.from_iterable(self.encoded(text)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def stretches(text: str) -> Iterator[tuple[str, list[str]]]:
+    """A text as (head, chunks): it reads head + " " + chunks[0] + " " + chunks[1] + ..., in stretches of about STRETCH.
+
+    Cuts are only at a space between two characters that are not white space. There a piece always
+    begins with the space, so every chunk falls into the same pieces wherever it stands.
+    """
+    at = 0
+    while at < len(text):
+        end = _ALONE.search(text, at + STRETCH) if len(text) - at > 2 * STRETCH else None
+        part = text[at : end.start()] if end else text[at:]
+        at = end.start() if end else len(text)
+        chunks = _ALONE.split(part)
+        yield chunks[0], chunks[1:]
+
+
 _CODECS: dict[tuple, Codec] = {}
 
 
@@ -196,8 +286,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
         c = codec(raw.value, pattern)
         for b in batches:
             for part in slices(b, 1):
-                if len(c.cache) > CACHED_PIECES:
-                    c.cache.clear()
+                c.tidy()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c.encode(x or "") for x in column(part, 1)], schema.field(1).type)], schema=schema)
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, ids array<int>")
@@ -216,40 +305,86 @@ def decoded(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
     return mapped(rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids).cast("array<int>").alias("ids")), run, "doc_id long, raw binary")
 
 
+class Written:
+    """Ids as they enter a digest (each after a space) and the bytes they stand for, by chunk, in two generations."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+        self.number = {i: b" %d" % i for i in codec.tokens}
+        self.ids: dict[str, bytes] = {}
+        self.raw: dict[str, bytes] = {}
+        self.old: tuple[dict, dict] = ({}, {})
+        self.long: list[str] = []
+
+    def both(self, ids: Iterable[int]) -> tuple[bytes, bytes]:
+        return b"".join(map(self.number.__getitem__, ids)), self.codec.decode(ids)
+
+    def know(self, chunks: set[str]) -> None:
+        """Make what is missing, but for chunks with white space at an end, whose pieces depend on what stands beside them."""
+        ids, raw, (old_ids, old_raw) = self.ids, self.raw, self.old
+        new = []
+        for x in chunks.difference(ids):
+            if x in old_ids:
+                ids[x], raw[x] = old_ids[x], old_raw[x]
+            elif x and not x[0].isspace() and not x[-1].isspace():
+                new.append(x)
+        self.long += [x for x in new if len(x) > LONG]
+        for x, found in self.codec.cut(new):
+            ids[x], raw[x] = self.both(found[0] if len(found) == 1 else list(chain.from_iterable(found)))
+
+    def tidy(self) -> None:
+        for x in self.long:
+            self.ids.pop(x, None)
+            self.raw.pop(x, None)
+        self.long.clear()
+        if len(self.ids) > CACHED_PIECES:
+            self.old, self.ids, self.raw = (self.ids, self.raw), {}, {}
+
+    def parts(self, text: str, chunks: list[str] | None) -> Iterator[tuple[bytes, bytes]]:
+        """(ids, bytes) of a text, stretch by stretch; chunks: the text cut at its spaces, if its chunks are known."""
+        if chunks is not None:
+            try:
+                whole = b"".join(map(self.ids.__getitem__, chunks)), b"".join(map(self.raw.__getitem__, chunks))
+            except KeyError:  # white space beside a space somewhere
+                pass
+            else:
+                head = text[: text.find(" ")] if chunks else text
+                yield from (self.both(list(chain.from_iterable(x))) for x in self.codec.head(head))
+                yield whole
+                return
+        for head, rest in stretches(text):
+            yield from (self.both(list(chain.from_iterable(x))) for x in self.codec.head(head))
+            for x, found in self.codec.cut(rest):
+                yield self.both(list(chain.from_iterable(found)))
+
+
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode, then decode the ids, in one pass.
 
-    Ids and decoded bytes of a piece are kept as they enter the digests; nothing of a text's length is built.
+    Ids and decoded bytes of a chunk are kept as they enter the digests; nothing longer than a stretch is built.
     """
     raw = _vocabulary(docs, path)
     schema = arrow_schema(DIGESTS)
 
     def run(batches):
         c = codec(raw.value, pattern)
-        made: dict[str, tuple[int, bytes, bytes]] = {}
+        written = Written(c)
         for b in batches:
             for part in slices(b, 1):
-                if len(c.cache) > CACHED_PIECES or len(made) > CACHED_PIECES:
-                    c.cache.clear()
-                    made.clear()
+                c.tidy()
+                written.tidy()
+                texts = [t or "" for t in column(part, 1)]
+                cut: list[list[str] | None] = [t.split(" ") if len(t) <= 2 * STRETCH else None for t in texts]
+                # All new chunks of the block, and the beginnings of its texts, are one corpus.
+                c.learn(p for x in cut if x for p in c.pattern.findall(x.pop(0)))
+                written.know(set().union(*[x for x in cut if x]))
                 rows = []
-                texts = column(part, 1)
-                cut = [list(c.pieces(x)) if x and len(x) < 4_000_000 else None for x in texts]
-                c.learn(p for k in cut if k for q in k for p in q)
-                for x, k in zip(texts, cut, strict=True):
+                for t, chunks in zip(texts, cut, strict=True):
                     n, ids, out = 0, hashlib.sha256(), hashlib.sha256()
-                    for q in k if k is not None else c.pieces(x or ""):
-                        if k is None:
-                            c.learn(q)
-                        for p in q:
-                            if p not in made:
-                                i = c.cache[p]
-                                made[p] = len(i), b"".join(b" %d" % y for y in i), c.decode(i)
-                        found = [made[p] for p in q]
-                        text_ids = b"".join([y[1] for y in found])
-                        ids.update(text_ids[1:] if not n else text_ids)
-                        out.update(b"".join([y[2] for y in found]))
-                        n += sum([y[0] for y in found])
+                    for number, body in written.parts(t, chunks):
+                        ids.update(number if n else number[1:])
+                        out.update(body)
+                        n += number.count(b" ")
                     rows.append((n, ids.hexdigest(), out.hexdigest()))
                 cols = list(zip(*rows, strict=True)) or [[]] * 3
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(v, f.type) for v, f in zip(cols, list(schema)[1:], strict=True))], schema=schema)

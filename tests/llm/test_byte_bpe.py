@@ -22,6 +22,17 @@ def test_codec_equals_tiktoken(text):
     assert OURS.decode(ids) == text.encode()
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\u3000", "\x1c", "a", "bc", "it's", "#", "7", ", "]), max_size=40), st.integers(1, 9))
+def test_white_space_and_stretches(parts, stretch):
+    text, before = "".join(parts), byte_bpe.STRETCH
+    byte_bpe.STRETCH = stretch
+    try:
+        assert OURS.encode(text) == THEIRS.encode_ordinary(text)
+    finally:
+        byte_bpe.STRETCH = before
+
+
 def test_replay_defers_to_lower_ranks():
     # merging (a, b) makes a pair of lower rank while more (a, b) wait in the same word
     ranks = {bytes([i]): 1000 + i for i in range(256)} | {b"ab": 50, b"abc": 10, b"abab": 60, b"cab": 20}
