@@ -23,8 +23,9 @@ import base64
 import hashlib
 import heapq
 import re
+import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
 import numpy as np
@@ -283,11 +284,13 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     schema = arrow_schema("doc_id long, ids array<int>")
 
     def run(batches):
-        c = codec(raw.value, pattern)
+        written = Written(codec(raw.value, pattern), lambda i: i.to_bytes(4, sys.byteorder))
         for b in batches:
             for part in slices(b, 1):
-                c.tidy()
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c.encode(x or "") for x in column(part, 1)], schema.field(1).type)], schema=schema)
+                ids = [b"".join([x for x, _ in parts]) for parts in written.block([t or "" for t in column(part, 1)])]
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists.cast(schema.field(1).type)], schema=schema)
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, ids array<int>")
 
@@ -306,11 +309,11 @@ def decoded(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
 
 
 class Written:
-    """Ids as they enter a digest (each after a space) and the bytes they stand for, by chunk, in two generations."""
+    """Ids in the form of ``number`` and the bytes they stand for, by chunk, in two generations."""
 
-    def __init__(self, codec: Codec):
+    def __init__(self, codec: Codec, number: Callable[[int], bytes]):
         self.codec = codec
-        self.number = {i: b" %d" % i for i in codec.tokens}
+        self.number = {i: number(i) for i in codec.tokens}
         self.ids: dict[str, bytes] = {}
         self.raw: dict[str, bytes] = {}
         self.old: tuple[dict, dict] = ({}, {})
@@ -340,6 +343,15 @@ class Written:
         if len(self.ids) > CACHED_PIECES:
             self.old, self.ids, self.raw = (self.ids, self.raw), {}, {}
 
+    def block(self, texts: list[str]) -> Iterator[Iterator[tuple[bytes, bytes]]]:
+        """The parts of each text. All new chunks of the block, and the beginnings of its texts, are one corpus."""
+        self.codec.tidy()
+        self.tidy()
+        cut: list[list[str] | None] = [t.split(" ") if len(t) <= 2 * STRETCH else None for t in texts]
+        self.codec.learn(p for x in cut if x for p in self.codec.pattern.findall(x.pop(0)))
+        self.know(set().union(*[x for x in cut if x]))
+        return map(self.parts, texts, cut)
+
     def parts(self, text: str, chunks: list[str] | None) -> Iterator[tuple[bytes, bytes]]:
         """(ids, bytes) of a text, stretch by stretch; chunks: the text cut at its spaces, if its chunks are known."""
         if chunks is not None:
@@ -367,21 +379,13 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     schema = arrow_schema(DIGESTS)
 
     def run(batches):
-        c = codec(raw.value, pattern)
-        written = Written(c)
+        written = Written(codec(raw.value, pattern), lambda i: b" %d" % i)
         for b in batches:
             for part in slices(b, 1):
-                c.tidy()
-                written.tidy()
-                texts = [t or "" for t in column(part, 1)]
-                cut: list[list[str] | None] = [t.split(" ") if len(t) <= 2 * STRETCH else None for t in texts]
-                # All new chunks of the block, and the beginnings of its texts, are one corpus.
-                c.learn(p for x in cut if x for p in c.pattern.findall(x.pop(0)))
-                written.know(set().union(*[x for x in cut if x]))
                 rows = []
-                for t, chunks in zip(texts, cut, strict=True):
+                for parts in written.block([t or "" for t in column(part, 1)]):
                     n, ids, out = 0, hashlib.sha256(), hashlib.sha256()
-                    for number, body in written.parts(t, chunks):
+                    for number, body in parts:
                         ids.update(number if n else number[1:])
                         out.update(body)
                         n += number.count(b" ")

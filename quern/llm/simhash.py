@@ -18,6 +18,7 @@ for are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 import numpy as np
@@ -59,13 +60,27 @@ def fingerprint(text: str | None, k: int = SHINGLE) -> int:
     return int(np.packbits(2 * bits > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def word_fingerprint(text: str | None) -> int:
+    """The fingerprint over a text's distinct words, for texts that share most words but few long shingles."""
+    import xxhash
+
+    words = set((text or "").encode().lower().split())
+    if not words:
+        return 0
+    h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    bits = np.zeros(64, np.int64)
+    for lo in range(0, len(h), CHUNK):
+        bits += np.unpackbits(h[lo : lo + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * bits > len(h), bitorder="little").view("<u8")[0])
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", digest: Callable[[str | None], int] = fingerprint) -> DataFrame:
     """(doc_id, code): the fingerprint as a signed 64-bit number."""
     schema = arrow_schema("doc_id long, code long")
 
     def run(batches):
         for b in batches:
-            codes = np.array([fingerprint(x) for x in column(b, 1)], np.uint64).view(np.int64)
+            codes = np.array([digest(x) for x in column(b, 1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes)], schema=schema)
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, code long")
@@ -144,23 +159,20 @@ def clustered(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit
     return out.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, bucket: int = BUCKET) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, bucket: int = BUCKET, digest: Callable[[str | None], int] = fingerprint) -> DataFrame:
     """The documents, all columns, of which each component keeps one: smallest id (null last), then smallest text."""
-    schema = arrow_schema(docs.schema)
     at = docs.columns.index(text)
     spec = docs.select("*", F.lit(0).cast("long").alias("q_code")).schema
-    out_schema = arrow_schema(spec)
-    assert len(schema) + 1 == len(out_schema)
+    schema = arrow_schema(spec)
 
     def run(batches):
         for b in batches:
-            codes = np.array([fingerprint(x) for x in column(b, at)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes)], schema=out_schema)
+            codes = np.array([digest(x) for x in column(b, at)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes)], schema=schema)
 
-    rows = fingerprints(docs, id_col, text)
-    codes = stored(rows.groupBy("code").agg(F.min("doc_id").alias("first")), "codes")
+    codes = stored(fingerprints(docs, id_col, text, digest).groupBy("code").agg(F.min("doc_id").alias("first")), "codes")
     heads = stored(labelled(codes, limit, bucket).where("code = head").select(F.col("code").alias("q_head")), "heads")
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(text))
+    order = F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text}`"))
     coded = mapped(docs, run, spec)
     best = coded.groupBy("q_code").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), order).alias("row"))
     return best.join(heads, F.col("q_code") == F.col("q_head"), "left_semi").select("row.*")
