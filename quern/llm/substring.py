@@ -177,11 +177,12 @@ def texts_and_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH,
                 yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(block.view(np.int64)), pa.array(b.column(0).to_numpy()[d]), pa.array(high | (s - first[d])), pa.array((e - s).astype(np.int32))], schema=schema)
 
     anchors = stored(mapped(texts.select("g1", "lo", "text"), seeds, ANCHORS), "anchors")
-    twice = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Each side of the joins below is a table as it stands, so that adaptive execution can split hot keys.
+    twice = stored(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "twice")
     seeds_ = stored(anchors.join(twice, "anchor", "left_semi"), "seeds")
-    release(anchors)
+    release(anchors, twice)
     blocks = stored(seeds_.groupBy("anchor", "block").agg(F.count("*").alias("n"), F.min(F.struct("g1", "x", "y")).alias("rep")), "blocks")
-    kinds = blocks.groupBy("anchor").count().where("count > 1").select("anchor")
+    kinds = stored(blocks.groupBy("anchor").count().where("count > 1").select("anchor"), "kinds")
     edges = blocks.join(kinds, "anchor", "left_semi").select("rep.g1", F.shiftright("rep.x", 32).cast("int").alias("lo"), F.struct((F.col("rep.x").bitwiseAND(0xFFFFFFFF)).cast("int").alias("s"), F.col("rep.y").alias("y"), (F.col("n") == 1).alias("single"), "anchor").alias("edge"))
     wanted = edges.groupBy("g1", "lo").agg(F.collect_list("edge").alias("edges"))  # at most a text's own anchors
     w_schema = arrow_schema(WINDOWS)
@@ -204,12 +205,12 @@ def texts_and_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH,
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[row]), pa.array(w.view(np.int64)), pa.array(b.column(0).to_numpy()[d[row]]), pa.array(high | at), pa.array(single[row])], schema=w_schema)
 
     windows = stored(mapped(texts.join(wanted, ["g1", "lo"]).select("g1", "lo", "text", "edges"), extend, WINDOWS), "windows")
-    again = windows.groupBy("anchor", "w").count().where("count > 1").select("anchor", "w")
+    again = stored(windows.groupBy("anchor", "w").count().where("count > 1").select("anchor", "w"), "again")
     whole_blocks = seeds_.join(blocks.where("n > 1").select("anchor", "block"), ["anchor", "block"], "left_semi").select("g1", "x", "y")
     lone = windows.where("single").join(again, ["anchor", "w"], "left_semi").select("g1", "x", F.lit(0).alias("y"))
     found = whole_blocks.union(lone).select("g1", F.shiftright("x", 32).cast("int").alias("lo"), F.struct(F.col("x").bitwiseAND(0xFFFFFFFF).cast("int").alias("s"), "y").alias("run"))
     runs = stored(found.groupBy("g1", "lo").agg(F.collect_list("run").alias("runs")), "runs")
-    release(seeds_, blocks, windows)
+    release(seeds_, blocks, kinds, windows, again)
     return texts.join(runs, ["g1", "lo"], "left").select("g1", "lo", "text", "copies", "runs")
 
 
