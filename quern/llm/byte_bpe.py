@@ -7,7 +7,7 @@ a heap; a rank's merges are applied at all its positions, left to right, and onl
 pairs to the left and right of a merge enter the index anew. If a new pair ranks
 below the one at work, that pair comes first, as it would word by word.
 
-A block is an Arrow batch of at most 8 MB of text, so memory is bounded; what was encoded
+A block is at most 4 MB of text, so memory is bounded; what was encoded
 before in the same worker is looked up, from one lone space to the next (the cache is
 emptied when full). Patterns must begin a piece at every space that stands between two
 characters which are not white space, as those of the public byte-level vocabularies do.
@@ -37,9 +37,11 @@ from quern.llm.batches import arrow_schema, column, mapped, slices
 
 CACHED_PIECES = 300_000
 #: Words replayed together, and pieces of one text handled at a time.
-CORPUS_WORDS = 200_000
+CORPUS_WORDS = 64_000
 CHUNK = 200_000
 STRETCH = 1_000_000
+#: Bytes of text that are encoded together.
+BLOCK = 4_000_000
 #: Beyond so many characters nothing is kept for later texts.
 LONG = 256
 #: Bits of a token id, and how many places of a rank are worth a vector step.
@@ -110,7 +112,7 @@ class Codec:
         n = int(sizes.sum())
         token, after, before = (array("i", bytes(4 * n)) for _ in range(3))
         tokens, afters, befores = (np.frombuffer(x, np.int32) for x in (token, after, before))
-        word = np.repeat(np.arange(len(words)), sizes)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         tokens[:] = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
         same = np.r_[word[1:] == word[:-1], False] if n else np.empty(0, bool)
         afters[:] = np.where(same, np.arange(1, n + 1), -1)
@@ -286,7 +288,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     def run(batches):
         written = Written(codec(raw.value, pattern), lambda i: i.to_bytes(4, sys.byteorder))
         for b in batches:
-            for part in slices(b, 1):
+            for part in slices(b, 1, BLOCK):
                 ids = [b"".join([x for x, _ in parts]) for parts in written.block([t or "" for t in column(part, 1)])]
                 ends = np.cumsum([0, *map(len, ids)]) // 4
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
@@ -325,15 +327,28 @@ class Written:
     def know(self, chunks: set[str]) -> None:
         """Make what is missing, but for chunks with white space at an end, whose pieces depend on what stands beside them."""
         ids, raw, (old_ids, old_raw) = self.ids, self.raw, self.old
-        new = []
-        for x in chunks.difference(ids):
-            if x in old_ids:
-                ids[x], raw[x] = old_ids[x], old_raw[x]
-            elif x and not x[0].isspace() and not x[-1].isspace():
-                new.append(x)
+        fresh = chunks.difference(ids)
+        again = fresh.intersection(old_ids) if old_ids else ()
+        for x in again:
+            ids[x], raw[x] = old_ids[x], old_raw[x]
+        new = [x for x in fresh.difference(again) if x and not x[0].isspace() and not x[-1].isspace()]
+        if not new:
+            return
         self.long += [x for x in new if len(x) > LONG]
-        for x, found in self.codec.cut(new):
-            ids[x], raw[x] = self.both(found[0] if len(found) == 1 else list(chain.from_iterable(found)))
+        # One text of all new chunks: a piece that begins with a space begins a chunk.
+        pieces = self.codec.pattern.findall(" " + " ".join(new))
+        self.codec.learn(pieces)
+        cache, number, token = self.codec.cache.young, self.number.__getitem__, self.codec.tokens.__getitem__
+        found: list[tuple[int, ...]] = []
+        for p in pieces:
+            if p[0] == " ":
+                found.append(cache[p])
+            else:
+                found[-1] += cache[p]
+        join = b"".join
+        for x, i in zip(new, found, strict=True):
+            ids[x] = join(map(number, i))
+            raw[x] = join(map(token, i))
 
     def tidy(self) -> None:
         for x in self.long:
@@ -381,7 +396,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     def run(batches):
         written = Written(codec(raw.value, pattern), lambda i: b" %d" % i)
         for b in batches:
-            for part in slices(b, 1):
+            for part in slices(b, 1, BLOCK):
                 rows = []
                 for parts in written.block([t or "" for t in column(part, 1)]):
                     n, ids, out = 0, hashlib.sha256(), hashlib.sha256()
