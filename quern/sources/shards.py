@@ -18,7 +18,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 SCHEMA = "key string, uid string, txt string, jpg binary, meta string, shard string"
 KINDS = ("json", "txt", "jpg")
@@ -116,8 +116,8 @@ class ShardSource(DataSource):
     def name(cls) -> str:
         return "shards"
 
-    def schema(self) -> StructType:
-        return _parse_datatype_string(SCHEMA)
+    def schema(self) -> str:
+        return SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return ShardReader(self.options)
