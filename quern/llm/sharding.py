@@ -3,7 +3,7 @@
 Groups of equal texts go to one shard together. Each group has a vector (bytes,
 words, rows); the next group, largest first, goes to the shard where the dot
 product of its vector with what the shard has left is highest, both in units of a
-shard's even share, among the shards that can still hold it.
+shard's even share, among the shards that can still hold it in all measures, or else in bytes.
 
 Bytes fill a shard exactly to its even share; words and rows may exceed theirs by SLACK
 and count WEIGHTS times in the product.
@@ -46,11 +46,12 @@ def pack(vectors: np.ndarray, shards: int) -> np.ndarray:
     out = np.empty(len(v), dtype=np.int32)
     for i in np.argsort(-v.max(axis=1), kind="stable"):
         score = left @ (v[i] * WEIGHTS)
-        fits = (left >= v[i]).all(axis=1)
-        if fits.any():
-            score = np.where(fits, score, -np.inf)
-        else:  # every shard would overflow in some measure: the one that overflows least in its worst measure
-            score = (left - v[i]).min(axis=1)
+        for fits in ((left >= v[i]).all(axis=1), left[:, 0] >= v[i, 0]):  # in all measures; else in bytes, the law's measure
+            if fits.any():
+                score = np.where(fits, score, -np.inf)
+                break
+        else:
+            score = left[:, 0]  # every shard would overflow: the one with the most bytes left
         k = int(score.argmax())
         out[i] = k
         left[k] -= v[i]
@@ -101,19 +102,23 @@ def parcels_of(rows: DataFrame, shards: int) -> dict[str, list[tuple]]:
     is_large = (F.col("bytes") * PARCELS > total["bytes"]) | (F.col("rows") * PARCELS > total["rows"])
     key = F.when(is_large, F.struct("g1", "g2"))
     packed = groups.groupBy(key.alias("large"), F.when(~is_large, F.pmod("g1", F.lit(PARCELS)).cast("int")).alias("parcel")).agg(F.sum("bytes"), F.sum("words"), F.sum("rows"))
-    units, vectors = [], []
-    for r in sorted(packed.collect(), key=lambda r: (r[0] is None, tuple(r[0] or ()), r[1] or 0)):
-        v = np.array(r[2:], dtype=float)
-        n = 1
-        if r[0] is not None and max(v[0] / total["bytes"], v[2] / total["rows"]) > 1 / shards:
-            n = PIECES
-        units += [(r[0], r[1], i, n) for i in range(n)]
-        vectors += [v / n] * n
-    where = pack(np.array(vectors).reshape(-1, 3), shards).tolist()
+    found = sorted(packed.collect(), key=lambda r: (r[0] is None, tuple(r[0] or ()), r[1] or 0))
+    # A group above an even share of bytes or rows is taken in pieces, each with what it really holds.
+    over = [tuple(r[0]) for r in found if r[0] is not None and max(r[2] / total["bytes"], r[4] / total["rows"]) > 1 / shards]
+    units = [(r[0], r[1], 0, 1) for r in found if r[0] is None or tuple(r[0]) not in over]
+    vectors = [r[2:] for r in found if r[0] is None or tuple(r[0]) not in over]
+    if over:
+        spark = rows.sparkSession
+        keys = F.broadcast(spark.createDataFrame(over, "g1 long, g2 long"))  # at most 2 * shards groups
+        pieces = rows.join(keys, ["g1", "g2"], "left_semi").groupBy("g1", "g2", F.pmod("row_hash", F.lit(PIECES)).alias("piece")).agg(F.sum("size"), F.sum("words"), F.count("*"))
+        for r in sorted(pieces.collect()):
+            units.append(((r[0], r[1]), None, r[2], PIECES))
+            vectors.append(r[3:])
+    where = pack(np.array(vectors, dtype=float).reshape(-1, 3), shards).tolist()
     both = list(zip(units, where, strict=True))
     return {
         "large": [(k[0], k[1], i, w) for (k, _, i, _), w in both if k is not None],
-        "pieces": [(k[0], k[1], n) for (k, _, i, n), _ in both if k is not None and i == 0],
+        "pieces": sorted({(k[0], k[1], n) for (k, _, _, n), _ in both if k is not None}),
         "small": [(p, w) for (k, p, _, _), w in both if k is None],
     }
 
