@@ -360,6 +360,11 @@ def batch_numbering(spark, d):
     return explore.numbered_batches(df, 50, "worker", "doc_id").select("doc_id", "batch_id")
 
 
+@query("SELECT doc_id, floor((row_number() OVER (ORDER BY doc_id) - 1) * 4 / count(*) OVER ())::INT AS split FROM documents")
+def equal_split(spark, d):
+    return explore.equal_split(table(spark, d, "documents").select("doc_id"), 4, "doc_id")
+
+
 # --- metrics, steps, pipeline --------------------------------------------------------------------
 _FLAGS = f"(SELECT floor((row_number() OVER (ORDER BY doc_id) - 1) / 100)::INT + 1 AS batch_id, {_LONG(200, 1500)} AS a, {_RATIO} AS b FROM {_CAPTIONS} c)"
 

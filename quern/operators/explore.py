@@ -118,6 +118,13 @@ def round_robin(index: Column, n: int) -> Column:
     return F.pmod(index, F.lit(n)).cast("int")
 
 
+def equal_split(df: DataFrame, n: int, *order: str, name: str = "split") -> DataFrame:
+    """df with a split number from 0: n runs of consecutive rows whose sizes differ by one at most."""
+    indexed = with_index(df, *order, name="q_index")
+    total = indexed.agg(F.count("*").alias("q_total"))  # one row
+    return indexed.join(F.broadcast(total)).withColumn(name, F.floor(F.col("q_index") * n / F.col("q_total")).cast("int")).drop("q_index", "q_total")
+
+
 def merged(parts: list[DataFrame], how: str = "intersection") -> DataFrame:
     """Distinct uids that all (``intersection``) or any (``union``) of the frames have."""
     if how not in MERGES:

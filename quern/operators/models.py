@@ -84,6 +84,20 @@ def pair_column(image: Column, caption: Column, key: str, make: Callable[[], Pai
     return F.nullif(run.asNondeterministic()(image, caption), F.lit(float("nan")))
 
 
+def generated_column(source: Column, key: str, make: Callable[[], Callable[[list], list]], kind: str = "string") -> Column:
+    """What a generating model makes of each value, a batch at a time: a caption of an image, an image of a caption."""
+
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = loaded(key, make)
+        for s in batches:
+            good = s.notna()
+            made = iter(model(s[good].tolist()) if good.any() else [])
+            yield pd.Series([next(made) if g else None for g in good], dtype=object)
+
+    return run.asNondeterministic()(source)
+
+
 def mask_column(fn: Callable[..., list[bool]], *columns: Column, **params) -> Column:
     """A list-to-list-of-booleans filter function as a boolean column."""
 

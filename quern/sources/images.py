@@ -5,7 +5,7 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -60,10 +60,14 @@ def _jpeg(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    """(path, width, height) of the image files below a path; null sizes for files that are no images."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.withColumn("size", size_column(F.col("content"))).select("path", "size.width", "size.height")
+
+
 def size_column(image: Column) -> Column:
     """struct(width, height) of image bytes; null fields where there is no size."""
-    from pyspark.sql import SparkSession
-
     from quern.plans.shipping import ship
 
     ship(SparkSession.active())

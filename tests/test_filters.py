@@ -106,6 +106,12 @@ def test_models_see_survivors_only(spark):
     assert df.where(mask).count() == df.where(F.length("txt") > 30).count()
 
 
+def test_generated(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "i int, c string")
+    made = models.generated_column(F.col("c"), "upper", lambda: lambda xs: [x.upper() for x in xs])
+    assert [r["g"] for r in df.withColumn("g", made).orderBy("i").collect()] == ["A", None]
+
+
 def test_stand_in_language_is_accurate_on_the_captions(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars > 150")
     s = docs.select("lang", models.stand_in_language(F.col("text")).alias("s"))

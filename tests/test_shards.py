@@ -86,6 +86,13 @@ def test_sizes(spark):
     assert got == [y or (None, None) for _, y in cases]
 
 
+def test_image_files(spark, tmp_path):
+    (tmp_path / "a.jpg").write_bytes(jpeg(30, 20))
+    (tmp_path / "b.txt").write_bytes(b"none")
+    got = {r["path"][-5:]: (r["width"], r["height"]) for r in images.read_images(spark, str(tmp_path)).collect()}
+    assert got == {"a.jpg": (30, 20), "b.txt": (None, None)}
+
+
 def test_npy(spark, tmp_path):
     given = [f"{(n * 0x9E3779B97F4A7C15F39CC0605CEDC835) % 2**128:032x}" for n in range(1, 500)]
     df = spark.createDataFrame([(u.upper() if i % 2 else u,) for i, u in enumerate(given)], "uid string").repartition(7)
