@@ -227,6 +227,10 @@ class Codec:
         self.cache.tidy()
         self.spaced.tidy()
 
+    def forget(self) -> None:
+        """Drop what is kept: a worker outlives its task, and the next stage needs the memory."""
+        self.cache, self.spaced = Recent(CACHED_PIECES), Recent(CACHED_PIECES)
+
     def head(self, text: str) -> Iterator[list[tuple[int, ...]]]:
         """The ids of the pieces of a text, in lists of bounded length."""
         found = self.pattern.finditer(text)
@@ -293,6 +297,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
                 ends = np.cumsum([0, *map(len, ids)]) // 4
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists.cast(schema.field(1).type)], schema=schema)
+        written.codec.forget()
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, ids array<int>")
 
@@ -407,6 +412,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
                     rows.append((n, ids.hexdigest(), out.hexdigest()))
                 cols = list(zip(*rows, strict=True)) or [[]] * 3
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(v, f.type) for v, f in zip(cols, list(schema)[1:], strict=True))], schema=schema)
+        written.codec.forget()
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, DIGESTS)
 

@@ -228,7 +228,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length:
     schema = arrow_schema(DIGESTS)
 
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 2, 4_000_000)):
             rows = []
             for x, copies, runs in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 words = x.encode().split()
@@ -249,7 +249,7 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, g
     schema = arrow_schema("g1 long, lo int, kept string")
 
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 2, 4_000_000)):
             out = []
             for x, copies, runs in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                 if not runs and copies == 1:
