@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -13,10 +15,32 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from quern.plans.shipping import ship
 
 
+#: Bytes of an Arrow batch on its way to Python, where the session has Spark's default.
+BATCH_BYTES = "16m"
+
+
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """df.mapInArrow with the package's sources sent along."""
-    ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    """df.mapInArrow with the package's sources sent along, smaller batches, and memory given back at a task's end."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m") in ("67108864b", "64m", "64MB"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task, and other stages share its machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
 
 
 def arrow_schema(df_or_ddl: str | StructType) -> pa.Schema:
