@@ -92,9 +92,14 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source:
     rows = placed(docs, id_col, text, source, keep_rows)
     key = ["source", "class", "part"]
     counted = placed(docs, id_col, text, source).groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    before = Window.partitionBy("source").orderBy("class", "part").rowsBetween(Window.unboundedPreceding, -1)
-    # A source has at most a thousand classes by 256 digest bytes: the window's partitions are bounded.
-    starts = counted.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # Prefix sums in two levels: a source has at most a thousand classes, a class 256 digest bytes.
+    earlier = Window.unboundedPreceding, -1
+    in_source = Window.partitionBy("source").orderBy("class").rowsBetween(*earlier)
+    in_class = Window.partitionBy("source", "class").orderBy("part").rowsBetween(*earlier)
+    sums = counted.groupBy("source", "class").agg(F.sum("n").alias("in_all"))
+    classes = sums.select(F.col("source").alias("c_source"), F.col("class").alias("c_class"), F.coalesce(F.sum("in_all").over(in_source), F.lit(0)).alias("c_start"))
+    same = F.col("source").eqNullSafe(F.col("c_source")) & (F.col("class") == F.col("c_class"))
+    starts = counted.withColumn("p_start", F.coalesce(F.sum("n").over(in_class), F.lit(0))).join(classes, same).withColumn("start", F.col("c_start") + F.col("p_start"))
     aimed = targets(counted.groupBy("source").agg(F.sum("words").alias("source_size")), **kind).withColumnRenamed("source", "a_source")
     plan = starts.join(aimed, F.col("source").eqNullSafe(F.col("a_source"))).select(*(F.col(c).alias(f"p_{c}") for c in key), "start", "source_size", "target")
     inside = Window.partitionBy(*key).orderBy("turn", "digest", F.col("doc_id").asc_nulls_last(), "tie")
