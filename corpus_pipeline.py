@@ -11,11 +11,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import byte_bpe, mixing, quality_rules, simhash, substring
+from quern.llm import byte_bpe, mixing, near_copies, quality_rules, substring
 from quern.plans.scratch import stored
 from quern.sources.tables import table
 
-#: Differing bits of distinct-word fingerprints: links nearly all pairs of a five-word-shingle similarity of 0.8 (see the README).
+#: Differing bits of distinct-word fingerprints that make a candidate; bands of minimum digests add those it misses (see the README).
 NEAR_BITS = 6
 
 
@@ -25,8 +25,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.one_of_each(docs, limit=NEAR_BITS, digest=simhash.word_fingerprint)
+    """One document of each group of near copies: exact Jaccard of five-word shingles, 0.8 or more."""
+    return near_copies.one_of_each(docs, limit=NEAR_BITS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

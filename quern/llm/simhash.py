@@ -67,7 +67,11 @@ def word_fingerprint(text: str | None) -> int:
     words = set((text or "").encode().lower().split())
     if not words:
         return 0
-    h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    return majority(np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words)))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the digests have."""
     bits = np.zeros(64, np.int64)
     for lo in range(0, len(h), CHUNK):
         bits += np.unpackbits(h[lo : lo + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
