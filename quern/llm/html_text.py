@@ -13,7 +13,8 @@ are read for pairing.
 
 Pairing sorts digests by host, path and page through a range partitioning, so a host
 with a third of all pages is spread over many tasks; the few rows at partition edges
-are matched on the driver (two a partition).
+are matched on the driver (four a partition). A run of pages with the very same lines has the
+rows around the whole run as neighbours, over partition edges too.
 
 Defined cases: a null page is an empty one; a page without text gives ''; a null or broken URL
 has host and path ''; a partner with the very same lines tells nothing and is passed over; repeated rows
@@ -23,7 +24,6 @@ for are ignored.
 
 from __future__ import annotations
 
-import itertools
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -36,11 +36,13 @@ from quern.llm.html_blocks import LOOSE, MAIN, blocks
 from quern.plans.scratch import release, stored
 
 DIGESTS = "k1 long, k2 long, host string, path string, needs boolean, lines array<long>"
-PAIRS = "k1 long, k2 long, needs boolean, p1 long, p2 long, common int, edge int, part int, host string, path string, whole long"
+_BESIDE = "struct<k1: long, k2: long, host: string, path: string>"
+PAIRS = f"k1 long, k2 long, needs boolean, p1 long, p2 long, ppath string, edge int, end int, part int, host string, path string, whole long, before {_BESIDE}, after {_BESIDE}"
 SCHEMA = "page_id long, url string, text string, n_chars long"
 #: Above this many cells a comparison matrix is not built; the lines' multisets decide.
 CELLS = 25_000_000
 FIRST, LAST = 1, 2
+START, END = 1, 2
 
 
 def place_of(url: str | None) -> tuple[str, str]:
@@ -141,6 +143,38 @@ def line_digests(keyed: DataFrame) -> DataFrame:
     return mapped(keyed.select("url", "html", "k1", "k2"), run, DIGESTS)
 
 
+def nearest(path: str, around: list[tuple]) -> tuple | None:
+    """Of rows (k1, k2, host, path, ...) the one that shares the longest path prefix, of equals the first."""
+    return max(around, key=lambda y: common_prefix(path, y[3]), default=None)
+
+
+def _beyond(ends: list) -> dict[int, tuple]:
+    """By partition: the nearest rows with other lines before its first run and after its last, in other partitions."""
+    runs: dict[int, dict] = {}
+    for r in sorted(ends, key=lambda r: r["part"]):
+        key, me = (r["host"], r["whole"]), (r["k1"], r["k2"], r["host"], r["path"])
+        x = runs.setdefault(r["part"], {})
+        for flag, side, at in ((FIRST, "head", "after"), (LAST, "tail", "before")):
+            if r["edge"] & flag:
+                x[side] = key
+                # The row on the run's inner side is what a run of the same lines in the partition beside meets next.
+                x[side + "_beside"] = tuple(r[at]) if r[at] is not None else None
+        if r["edge"] & FIRST and r["end"] & START:
+            x["first"] = me
+        if r["edge"] & LAST and r["end"] & END:
+            x["last"] = me
+    out: dict[int, list] = {p: [None, None] for p in runs}
+    for side, (mine, theirs, outer) in enumerate((("head", "tail", "last"), ("tail", "head", "first"))):
+        seen = None  # the partition beside: (key of its near run, the run's outermost row, the row past the run)
+        for p in sorted(runs, reverse=side == 1):
+            x = runs[p]
+            if seen is not None:
+                out[p][side] = seen[2] if x[mine] == seen[0] else seen[1]
+            single = x[theirs + "_beside"] is None and x["head"] == x["tail"]
+            seen = (x[theirs], x[outer], out[p][side] if single else x[theirs + "_beside"])
+    return {p: tuple(x) for p, x in out.items()}
+
+
 def partners(digests: DataFrame) -> DataFrame:
     """(k1, k2, p1, p2): each page that needs one and its nearest neighbour by path in its host with other lines."""
     schema = arrow_schema(PAIRS)
@@ -153,45 +187,59 @@ def partners(digests: DataFrame) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        part, last, waiting, first = TaskContext.get().partitionId(), None, None, True
+        part = TaskContext.get().partitionId()
+        earlier, held, out, first = None, [], [], True
+
+        def ended(after):
+            """Rows of the run of equal lines that is held; its neighbours are the rows around the whole run."""
+            edge = (FIRST if first else 0) + (LAST if after is None else 0)
+            around = [y for y in (earlier, after) if y is not None and y[2] == held[0][2]]
+            for i, x in enumerate(held):
+                p = nearest(x[3], around)
+                # The run's ends carry the rows beside it, which a run in the next partition may need.
+                end = (START if i == 0 else 0) + (END if i == len(held) - 1 else 0)
+                beside = [y and y[:4] for y in (earlier, after)] if edge and end else [None, None]
+                out.append((x[0], x[1], x[5], p and p[0], p and p[1], p and p[3], edge, end if edge else 0, part, x[2], x[3], x[4], *beside))
 
-        def row(x, before, after, edge):
-            near = [(common_prefix(x[3], y[3]), y) for y in (before, after) if y is not None and y[2] == x[2] and y[4] != x[4]]
-            common, p = max(near, default=(-1, (None, None)), key=lambda z: z[0])  # of equals the first
-            return (x[0], x[1], x[5], p[0], p[1], common, edge, part, x[2], x[3], x[4])
+        def batch():
+            rows = [tuple(dict(zip(("k1", "k2", "host", "path"), v, strict=True)) if i > 11 and v else v for i, v in enumerate(r)) for r in out]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-        out = []
         for b in batches:
             for x in zip(*(column(b, i) for i in range(6)), strict=True):
-                if waiting is not None:
-                    out.append(row(waiting, last, x, FIRST if first else 0))
-                    first = False
-                    last = waiting
-                waiting = x
+                if held and (x[2], x[4]) != (held[0][2], held[0][4]):
+                    ended(x)
+                    earlier, held, first = held[-1], [], False
+                held.append(x)
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
-                out = []
-        if waiting is not None:
-            out.append(row(waiting, last, None, FIRST + LAST if first else LAST))
+                yield batch()
+                out.clear()
+        if held:
+            ended(None)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            yield batch()
 
     found = stored(mapped(ordered, run, PAIRS), "pairs")
-    # First and last rows of the partitions: at most two a partition.
-    edges = sorted(found.where("edge > 0").collect(), key=lambda r: (r["part"], r["edge"] == LAST))
-    best = {(r["k1"], r["k2"]): r["common"] for r in edges}
-    moved = {}
-    for a, z in itertools.pairwise(edges):
-        if a["part"] == z["part"] or a["host"] != z["host"] or a["whole"] == z["whole"]:
-            continue
-        common, ka, kz = common_prefix(a["path"], z["path"]), (a["k1"], a["k2"]), (z["k1"], z["k2"])
-        if common > best[ka]:  # the neighbour before wins among equals
-            best[ka], moved[ka] = common, kz
-        if common >= best[kz]:
-            best[kz], moved[kz] = common, ka
-    if moved:
-        better = digests.sparkSession.createDataFrame([(*k, *v) for k, v in sorted(moved.items())], "k1 long, k2 long, n1 long, n2 long")
-        found = found.join(F.broadcast(better), ["k1", "k2"], "left").select("k1", "k2", "needs", F.coalesce("n1", "p1").alias("p1"), F.coalesce("n2", "p2").alias("p2"))
+    # Ends of the first and last runs of the partitions: at most four rows a partition.
+    ends = found.where("end > 0").drop("needs", "p1", "p2", "ppath").collect()
+    beyond = _beyond(ends)
+
+    chosen = "k1 long, k2 long, needs boolean, p1 long, p2 long"
+    fields = arrow_schema(chosen)
+
+    def choose(batches):
+        for b in batches:
+            rows = []
+            for k1, k2, needs, p1, p2, ppath, edge, part, host, path in zip(*(column(b, i) for i in range(10)), strict=True):
+                before, after = beyond.get(part, (None, None))
+                own = (p1, p2, host, ppath) if p1 is not None else None
+                around = [before if edge & FIRST else None, own, after if edge & LAST else None]
+                p = nearest(path, [y for y in around if y is not None and y[2] == host])
+                rows.append((k1, k2, needs, p and p[0], p and p[1]))
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, fields, strict=True)], schema=fields)
+
+    found = mapped(found.select("k1", "k2", "needs", "p1", "p2", "ppath", "edge", "part", "host", "path"), choose, chosen)
     near = found.where("needs AND p1 IS NOT NULL").select("k1", "k2", "p1", "p2")
     # Back to all pages that the one row stands for.
     groups = one.select("host", "path", "whole", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")).join(near, ["k1", "k2"]).select("host", "path", "whole", "p1", "p2")
