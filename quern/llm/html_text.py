@@ -39,7 +39,7 @@ DIGESTS = "k1 long, k2 long, host string, path string, needs boolean, lines arra
 _BESIDE = "struct<k1: long, k2: long, host: string, path: string>"
 PAIRS = f"k1 long, k2 long, needs boolean, p1 long, p2 long, ppath string, edge int, end int, part int, host string, path string, whole long, before {_BESIDE}, after {_BESIDE}"
 SCHEMA = "page_id long, url string, text string, n_chars long"
-#: Above this many cells a comparison matrix is not built; the lines' multisets decide.
+#: Cells of a comparison matrix; larger ones are cut at a point that a longest common subsequence passes.
 CELLS = 25_000_000
 FIRST, LAST = 1, 2
 START, END = 1, 2
@@ -84,14 +84,32 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     ends = [*range(lo), *range(hi_a, len(a))]
     if not xs or not ys:
         return sorted(ends)
-    if len(xs) * len(ys) > CELLS:
-        return sorted(ends + xs)
-    y = np.array(ys)
-    table = np.zeros((len(xs) + 1, len(ys) + 1), np.int32)
-    for r, i in enumerate(xs, 1):  # a row at a time: diagonal steps, then a running maximum
-        row = np.maximum(table[r - 1, 1:], (table[r - 1, :-1] + 1) * (y == a[i]))
+    number = {x: i for i, x in enumerate(dict.fromkeys(ys))}
+    at = _longest(np.array([number[a[i]] for i in xs]), np.array([number[y] for y in ys]))
+    return sorted(ends + [xs[i] for i in at])
+
+
+def _lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Length of a longest common subsequence of x with each prefix of y."""
+    row = np.zeros(len(y) + 1, np.int32)
+    for v in x:  # a row at a time: diagonal steps, then a running maximum
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], (row[:-1] + 1) * (y == v)))
+    return row
+
+
+def _longest(x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Positions in x of a longest common subsequence, in linear memory beyond CELLS (Hirschberg)."""
+    if not len(x) or not len(y):
+        return []
+    if len(x) * len(y) > CELLS and len(x) > 1:
+        mid = len(x) // 2
+        cut = int(np.argmax(_lengths(x[:mid], y) + _lengths(x[mid:][::-1], y[::-1])[::-1]))
+        return _longest(x[:mid], y[:cut]) + [mid + i for i in _longest(x[mid:], y[cut:])]
+    table = np.zeros((len(x) + 1, len(y) + 1), np.int32)
+    for r, v in enumerate(x, 1):
+        row = np.maximum(table[r - 1, 1:], (table[r - 1, :-1] + 1) * (y == v))
         table[r, 1:] = np.maximum.accumulate(row)
-    r, c, found = len(xs), len(ys), []
+    r, c, found = len(x), len(y), []
     while r and c:
         if table[r, c] == table[r - 1, c]:
             r -= 1
@@ -99,8 +117,8 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
             c -= 1
         else:
             r, c = r - 1, c - 1
-            found.append(xs[r])
-    return sorted(ends + found)
+            found.append(r)
+    return found[::-1]
 
 
 def main_text(page: str | None, shared: list[int] | None = None) -> str:
