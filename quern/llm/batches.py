@@ -6,6 +6,7 @@ import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -59,7 +60,13 @@ def slices(batch: pa.RecordBatch, at: int, most: int = 8_000_000) -> Iterator[pa
     if batch.nbytes <= most:
         yield batch
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+    texts = batch.column(at)
+    if pa.types.is_list(texts.type):  # of strings
+        ends = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(texts.values), 0).to_numpy(zero_copy_only=False))]
+        at_row = texts.offsets.to_numpy()
+        sizes = (ends[at_row[1:]] - ends[at_row[:-1]]).tolist()
+    else:
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     total = 0
     for i in range(n):
         if total and total + sizes[i] > most:

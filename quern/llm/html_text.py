@@ -1,29 +1,35 @@
 """Main text of HTML pages by nearest-URL page differencing.
 
-Pages of a host are paired by URL path: a page's partner is the neighbour in path order
-that shares the longest prefix with it. Their text lines are aligned by longest common
-subsequence, and lines that both pages have are template, so they go.
-
-Differencing alone can't give right results where menus and footers vary from page to page and
-articles recur on several pages. Structure is therefore read first: lines of navigation,
-footers, forms, adverts and the like go by their elements, lines inside an article (or,
-without one, a main element) stay, and differencing decides on the lines of pages that mark no
-main text. Only such pages are paired and joined; of all others only line digests
-are read for pairing.
-
-Pairing sorts digests by host, path and page through a range partitioning, so a host
+Pages of a host are paired by URL path: the witnesses of a page are the two nearest pages
+with other content on either side of it in path order, which share the longest path prefixes with it. Their text
+lines are aligned with the page's own by longest common subsequence, and shared lines are template, so they go:
+
+* On a page that marks no main text, a line goes if over half of the witnesses share it.
+* Inside marked main text (article, main or content elements) a line goes if every witness shares it. A passage
+  that two articles have in common is no template; a line that all articles around have is.
+* A witness that shares over half of the marked text is a version of the same article, one that shares every
+  line of an unmarked page tells nothing: such witnesses don't count. Pages with the very same content are one
+  run, whose witnesses stand around the whole run, so articles that recur under many URLs stay whole.
+
+Structure settles what differencing leaves open, since menus, footers and adverts can differ from page to page:
+lines of boilerplate elements and class words go even where no other page has them (``html_blocks``). Beside
+marked text a first-level heading of the page's own stays, and so do all its own unmarked lines if they outweigh
+the marked ones, which are teasers then. A page whose every line stands in weak places
+(class words, forms) is treated like one without marks.
+
+Pairing sorts digests by host, path and content through a range partitioning, so a host
 with a third of all pages is spread over many tasks; the few rows at partition edges
-are matched on the driver (four a partition). A run of pages with the very same lines has the
-rows around the whole run as neighbours, over partition edges too.
+are matched on the driver (four a partition). Lines are equal if their 64-bit digests are.
 
 Defined cases: a null page is an empty one; a page without text gives ''; a null or broken URL
-has host and path ''; a partner with the very same lines tells nothing and is passed over; repeated rows
+has host and path ''; a page without witnesses keeps what structure leaves; repeated rows
 get the same text; an empty table gives an empty result; columns that are not asked
 for are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -32,12 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.batches import arrow_schema, column, mapped, slices
-from quern.llm.html_blocks import LOOSE, MAIN, blocks
+from quern.llm.html_blocks import LOOSE, MAIN, OUT, TITLE, WEAK, blocks
 from quern.plans.scratch import release, stored
 
-DIGESTS = "k1 long, k2 long, host string, path string, needs boolean, lines array<long>"
+PARSED = "page_id long, url string, k1 long, k2 long, host string, path string, body long, marked boolean, places array<int>, texts array<string>, lines array<long>"
 _BESIDE = "struct<k1: long, k2: long, host: string, path: string>"
-PAIRS = f"k1 long, k2 long, needs boolean, p1 long, p2 long, ppath string, edge int, end int, part int, host string, path string, whole long, before {_BESIDE}, after {_BESIDE}"
+PAIRS = f"k1 long, k2 long, b1 long, b2 long, a1 long, a2 long, edge int, end int, part int, host string, path string, whole long, before {_BESIDE}, after {_BESIDE}"
+SHARED = "k1 long, k2 long, void boolean, shared array<int>"
 SCHEMA = "page_id long, url string, text string, n_chars long"
 #: Cells of a comparison matrix; larger ones are cut at a point that a longest common subsequence passes.
 CELLS = 25_000_000
@@ -54,20 +61,6 @@ def place_of(url: str | None) -> tuple[str, str]:
         return "", ""
 
 
-def common_prefix(a: str, b: str) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    lo, hi = 0, n
-    while lo < hi:
-        mid = (lo + hi + 1) // 2
-        if a[:mid] == b[:mid]:
-            lo = mid
-        else:
-            hi = mid - 1
-    return lo
-
-
 def common_lines(a: list[int], b: list[int]) -> list[int]:
     """Positions in a of a longest common subsequence of a and b.
 
@@ -121,14 +114,46 @@ def _longest(x: np.ndarray, y: np.ndarray) -> list[int]:
     return found[::-1]
 
 
-def main_text(page: str | None, shared: list[int] | None = None) -> str:
-    """The page's main text; shared: positions, among its blocks, of lines that go."""
-    found = blocks(page or "")
-    best = max((p for p, _ in found), default=LOOSE)
-    if best >= MAIN:
-        return "\n".join(t for p, t in found if p == best)
-    gone = set(shared or ())
-    return "\n".join(t for i, (p, t) in enumerate(found) if p == LOOSE and i not in gone)
+def content_of(marked: bool, places: list[int]) -> list[int]:
+    """Positions of the lines that structure alone takes for the main text."""
+    if marked:
+        return [i for i, p in enumerate(places) if p >= MAIN]
+    return [i for i, p in enumerate(places) if p >= LOOSE] or [i for i, p in enumerate(places) if p == WEAK]
+
+
+def tells_nothing(marked: bool, sizes: list[int], other: list[int], content: list[int], shared: list[int]) -> bool:
+    """Whether a witness with the content sizes ``other`` is a version of the same article, or the same lines."""
+    own = set(content)
+    both = sum(sizes[i] for i in shared if i in own)
+    total = sum(sizes[i] for i in content)
+    if not both:
+        return False
+    return (2 * both > total or 2 * both > sum(other)) if marked else both == total
+
+
+def staying(marked: bool, places: list[int], sizes: list[int], witnesses: list[list[int]]) -> list[int]:
+    """Positions of the main text's lines; witnesses: positions of the lines shared with each page that counts."""
+    votes = Counter(i for x in witnesses for i in x)
+    n, content = len(witnesses), content_of(marked, places)
+    if not marked:
+        return [i for i in content if 2 * votes[i] <= n]
+    kept = [i for i in content if not n or votes[i] < n]
+    beside = [i for i, p in enumerate(places) if p in (LOOSE, TITLE) and 2 * votes[i] <= n]
+    if n and sum(sizes[i] for i in beside) > sum(sizes[i] for i in kept):
+        return sorted(kept + beside)
+    return sorted(kept + [i for i in beside if places[i] == TITLE])
+
+
+def main_text(page: str | None, witnesses: list[list[int]] | None = None) -> str:
+    """The page's main text; witnesses: positions, among its lines, of those that each witness shares."""
+    marked, found = lines_of(page)
+    return "\n".join(found[i][1] for i in staying(marked, [p for p, _ in found], [len(t) for _, t in found], witnesses or []))
+
+
+def lines_of(page: str | None) -> tuple[bool, list[tuple[int, str]]]:
+    """(whether main text is marked, (place, text) of each line outside boilerplate elements)."""
+    marked, found = blocks(page or "")
+    return marked, [x for x in found if x[0] != OUT]
 
 
 def _line_digest(text: str) -> int:
@@ -137,33 +162,37 @@ def _line_digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - 2**63
 
 
-def _keyed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(page_id, url, html, k1, k2): rows that are alike have one key."""
-    cols = [F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html")]
-    return pages.select(*cols).select("*", F.xxhash64("page_id", "url", "html").alias("k1"), F.xxhash64(F.lit("k"), "html", "url", "page_id").alias("k2"))
+def _digest(parts: list, seed: int = 0) -> int:
+    import xxhash
+
+    h = xxhash.xxh64(seed=seed)
+    for x in parts:
+        h.update(x.encode("utf-8", "surrogatepass") + b"\0" if isinstance(x, str) else x)
+    return h.intdigest() - 2**63
 
 
-def line_digests(keyed: DataFrame) -> DataFrame:
-    """One row per page: key, host, path, whether differencing decides on it, its lines' digests."""
-    schema = arrow_schema(DIGESTS)
+def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """One row per page: its lines with places and digests; pages alike in host, path and lines have one key (k1, k2)."""
+    schema = arrow_schema(PARSED)
 
     def run(batches):
         for whole in batches:
-            for b in slices(whole, 1):
+            for b in slices(whole, 2, 2_000_000):
                 rows = []
-                for url, page in zip(column(b, 0), column(b, 1), strict=True):
-                    found = blocks(page or "")
-                    needs = bool(found) and max(p for p, _ in found) == LOOSE
-                    rows.append((*place_of(url), needs, [_line_digest(t) for _, t in found]))
-                cols = list(zip(*rows, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([b.column(2), b.column(3), *(pa.array(c, f.type) for c, f in zip(cols, list(schema)[2:], strict=True))], schema=schema)
-
-    return mapped(keyed.select("url", "html", "k1", "k2"), run, DIGESTS)
-
+                for page_id, url, page in zip(*(column(b, i) for i in range(3)), strict=True):
+                    marked, found = lines_of(page)
+                    host, path = place_of(url)
+                    places = [p for p, _ in found]
+                    lines = [_line_digest(t) for _, t in found]
+                    raw = np.array(lines, np.int64).tobytes()
+                    same = [host, path, raw, bytes(places), bytes([marked])]
+                    body = np.array([lines[i] for i in content_of(marked, places)], np.int64).tobytes()
+                    rows.append((page_id, url, _digest(same), _digest(same, 1), host, path, _digest([body]), marked, places, [t for _, t in found], lines))
+                cols = list(zip(*rows, strict=True)) or [[]] * len(schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-def nearest(path: str, around: list[tuple]) -> tuple | None:
-    """Of rows (k1, k2, host, path, ...) the one that shares the longest path prefix, of equals the first."""
-    return max(around, key=lambda y: common_prefix(path, y[3]), default=None)
+    cols = [F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html")]
+    return mapped(pages.select(*cols), run, PARSED)
 
 
 def _beyond(ends: list) -> dict[int, tuple]:
@@ -193,14 +222,10 @@ def _beyond(ends: list) -> dict[int, tuple]:
     return {p: tuple(x) for p, x in out.items()}
 
 
-def partners(digests: DataFrame) -> DataFrame:
-    """(k1, k2, p1, p2): each page that needs one and its nearest neighbour by path in its host with other lines."""
+def partners(keys: DataFrame) -> DataFrame:
+    """keys: distinct (k1, k2, host, path, body). Adds each page's neighbours by path in its host that have other content: (b1, b2) before, (a1, a2) after."""
     schema = arrow_schema(PAIRS)
-    whole = F.xxhash64("lines")
-    rows = digests.select("k1", "k2", "host", "path", "needs", whole.alias("whole")).distinct()
-    # One row for pages alike in lines, host and path: neighbours then differ, and hot groups of copies are one row.
-    one = rows.groupBy("host", "path", "whole").agg(F.min(F.struct("k1", "k2")).alias("k"), F.max("needs").alias("needs"))
-    ordered = one.select("k.k1", "k.k2", "host", "path", "whole", "needs").repartitionByRange("host", "path", "whole").sortWithinPartitions("host", "path", "whole", "k1", "k2")
+    ordered = keys.select("k1", "k2", "host", "path", "body").repartitionByRange("host", "path", "body", "k1").sortWithinPartitions("host", "path", "body", "k1", "k2")
 
     def run(batches):
         from pyspark import TaskContext
@@ -209,22 +234,21 @@ def partners(digests: DataFrame) -> DataFrame:
         earlier, held, out, first = None, [], [], True
 
         def ended(after):
-            """Rows of the run of equal lines that is held; its neighbours are the rows around the whole run."""
+            """Rows of the run of equal content that is held; its neighbours are the rows around the whole run."""
             edge = (FIRST if first else 0) + (LAST if after is None else 0)
-            around = [y for y in (earlier, after) if y is not None and y[2] == held[0][2]]
+            b, a = (y if y is not None and y[2] == held[0][2] else None for y in (earlier, after))
             for i, x in enumerate(held):
-                p = nearest(x[3], around)
                 # The run's ends carry the rows beside it, which a run in the next partition may need.
                 end = (START if i == 0 else 0) + (END if i == len(held) - 1 else 0)
                 beside = [y and y[:4] for y in (earlier, after)] if edge and end else [None, None]
-                out.append((x[0], x[1], x[5], p and p[0], p and p[1], p and p[3], edge, end if edge else 0, part, x[2], x[3], x[4], *beside))
+                out.append((x[0], x[1], b and b[0], b and b[1], a and a[0], a and a[1], edge, end if edge else 0, part, x[2], x[3], x[4], *beside))
 
         def batch():
             rows = [tuple(dict(zip(("k1", "k2", "host", "path"), v, strict=True)) if i > 11 and v else v for i, v in enumerate(r)) for r in out]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for b in batches:
-            for x in zip(*(column(b, i) for i in range(6)), strict=True):
+            for x in zip(*(column(b, i) for i in range(5)), strict=True):
                 if held and (x[2], x[4]) != (held[0][2], held[0][4]):
                     ended(x)
                     earlier, held, first = held[-1], [], False
@@ -239,66 +263,73 @@ def partners(digests: DataFrame) -> DataFrame:
 
     found = stored(mapped(ordered, run, PAIRS), "pairs")
     # Ends of the first and last runs of the partitions: at most four rows a partition.
-    ends = found.where("end > 0").drop("needs", "p1", "p2", "ppath").collect()
-    beyond = _beyond(ends)
-
-    chosen = "k1 long, k2 long, needs boolean, p1 long, p2 long"
+    beyond = _beyond(found.where("end > 0").select("k1", "k2", "edge", "end", "part", "host", "path", "whole", "before", "after").collect())
+    chosen = "k1 long, k2 long, b1 long, b2 long, a1 long, a2 long"
     fields = arrow_schema(chosen)
 
     def choose(batches):
         for b in batches:
             rows = []
-            for k1, k2, needs, p1, p2, ppath, edge, part, host, path in zip(*(column(b, i) for i in range(10)), strict=True):
+            for k1, k2, b1, b2, a1, a2, edge, part, host in zip(*(column(b, i) for i in range(9)), strict=True):
                 before, after = beyond.get(part, (None, None))
-                own = (p1, p2, host, ppath) if p1 is not None else None
-                around = [before if edge & FIRST else None, own, after if edge & LAST else None]
-                p = nearest(path, [y for y in around if y is not None and y[2] == host])
-                rows.append((k1, k2, needs, p and p[0], p and p[1]))
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
+                if edge & FIRST and before is not None and before[2] == host:
+                    b1, b2 = before[:2]
+                if edge & LAST and after is not None and after[2] == host:
+                    a1, a2 = after[:2]
+                rows.append((k1, k2, b1, b2, a1, a2))
+            cols = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, fields, strict=True)], schema=fields)
 
-    found = mapped(found.select("k1", "k2", "needs", "p1", "p2", "ppath", "edge", "part", "host", "path"), choose, chosen)
-    near = found.where("needs AND p1 IS NOT NULL").select("k1", "k2", "p1", "p2")
-    # Back to all pages that the one row stands for.
-    groups = one.select("host", "path", "whole", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")).join(near, ["k1", "k2"]).select("host", "path", "whole", "p1", "p2")
-    return rows.where("needs").join(groups, ["host", "path", "whole"]).select("k1", "k2", "p1", "p2")
+    return mapped(found.select("k1", "k2", "b1", "b2", "a1", "a2", "edge", "part", "host"), choose, chosen)
+
 
+def witnesses(near: DataFrame) -> DataFrame:
+    """near: stored, of partners(). (k1, k2, p1, p2): the two nearest pages with other content on either side."""
+    beyond = lambda c: near.select(F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"), F.col(f"{c}1").alias(f"{c}{c}1"), F.col(f"{c}2").alias(f"{c}{c}2"))
+    wide = near.join(beyond("b"), ["b1", "b2"], "left").join(beyond("a"), ["a1", "a2"], "left")
+    each = F.array(*(F.struct(F.col(f"{c}1").alias("p1"), F.col(f"{c}2").alias("p2")) for c in ("b", "a", "bb", "aa")))
+    return wide.select("k1", "k2", F.inline(each)).where("p1 IS NOT NULL")
 
-def shared_lines(digests: DataFrame) -> DataFrame:
-    """(k1, k2, gone): positions of the lines that a page shares with its partner."""
-    lines = digests.select("k1", "k2", "lines").dropDuplicates(["k1", "k2"])
-    own = partners(digests).join(lines, ["k1", "k2"])
-    both = own.join(lines.toDF("p1", "p2", "other"), ["p1", "p2"]).select("k1", "k2", "lines", "other")
-    spec = "k1 long, k2 long, gone array<int>"
-    schema = arrow_schema(spec)
+
+def shared_lines(pages: DataFrame, pairs: DataFrame) -> DataFrame:
+    """pages: stored (k1, k2, marked, places, sizes, lines). (k1, k2, seen): what each witness that counts shares with a page, where any does."""
+    schema = arrow_schema(SHARED)
+    other = pages.toDF("p1", "p2", *(f"o_{c}" for c in pages.columns[2:]))
+    columns = pages.columns[2:]
+    both = pairs.join(other, ["p1", "p2"]).join(pages, ["k1", "k2"]).select("k1", "k2", *columns, *(f"o_{c}" for c in columns))
 
     def run(batches):
         for b in batches:
-            gone = [common_lines(x, y) for x, y in zip(column(b, 2), column(b, 3), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(gone, schema.field(2).type)], schema=schema)
+            rows = []
+            for k1, k2, marked, places, sizes, lines, o_marked, o_places, o_sizes, o_lines in zip(*(column(b, i) for i in range(10)), strict=True):
+                shared = common_lines(lines, o_lines)
+                void = tells_nothing(marked, sizes, [o_sizes[i] for i in content_of(o_marked, o_places)], content_of(marked, places), shared)
+                rows.append((k1, k2, void, shared))
+            cols = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return mapped(both, run, spec).where(F.size("gone") > 0)
+    found = mapped(both, run, SHARED).where("NOT void").groupBy("k1", "k2").agg(F.collect_list("shared").alias("seen"))  # four at most
+    return found.where(F.exists("seen", lambda x: F.size(x) > 0))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    keyed = _keyed(pages, id_col, url_col, html_col)
-    digests = stored(line_digests(keyed), "lines")
+    every = stored(parsed(pages, id_col, url_col, html_col), "parsed")
+    few = stored(every.select("k1", "k2", "host", "path", "body", "marked", "places", F.transform("texts", F.length).alias("sizes"), "lines").dropDuplicates(["k1", "k2"]), "lines")
+    near = stored(partners(few), "near")
+    seen = stored(shared_lines(few.drop("host", "path", "body"), witnesses(near)), "shared")
+    release(few, near)
     schema = arrow_schema(SCHEMA)
 
     def run(batches):
         for whole in batches:
-            for b in slices(whole, 2):
-                texts = [main_text(x, gone) for x, gone in zip(column(b, 2), column(b, 3), strict=True)]
+            for b in slices(whole, 4, 2_000_000):
+                texts = []
+                for marked, places, lines, found in zip(*(column(b, i) for i in (2, 3, 4, 5)), strict=True):
+                    texts.append("\n".join(lines[i] for i in staying(marked, places, list(map(len, lines)), found or [])))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], schema=schema)
 
-    none = F.lit(None).cast("array<int>")
-    if digests.where("needs").isEmpty():  # no page without a marked main text: nothing to pair
-        rows = keyed.select("page_id", "url", "html", none.alias("gone"))
-    else:
-        gone = stored(shared_lines(digests), "shared")
-        rows = keyed.join(gone, ["k1", "k2"], "left").select("page_id", "url", "html", "gone")
-    release(digests)
+    rows = every.join(seen, ["k1", "k2"], "left").select("page_id", "url", "marked", "places", "texts", "seen")
     return mapped(rows, run, SCHEMA)
 
 
