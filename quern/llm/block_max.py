@@ -2,63 +2,105 @@
 
 Example ids are cut into blocks of BLOCK neighbours. Each term keeps its postings
 by id, and per block the largest weight in it. A query's bound for a block is the
-sum of its weights times those maxima; blocks are opened in falling order of their
-bounds, until the next bound is below the k-th best score found.
+sum of its weights times those maxima. The blocks with the highest bounds are opened first; every
+block whose bound reaches the k-th best score found there is opened too, and all others are skipped:
+none of their examples can be among the k best.
+
+The postings of the DENSE most frequent terms are kept as full rows, zeros included: their part of all scores is one
+matrix product for many queries, and its largest value in a block, an exact one, enters the block's bound.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
 
 BLOCK = 64
+#: Blocks that are opened first.
+FIRST = 4
+#: Full rows; only terms that more than one example of SPARSE has get one.
+DENSE, SPARSE = 192, 32
+#: Queries of one matrix product.
+TOGETHER = 64
+
+
+def spread(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (many[0] numbers), then start[1], ..."""
+    return np.repeat(start - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors: rows of (example, term, weight), sorted by example within a term."""
+    """Postings of unit vectors: rows of (example, term, weight), one per example and term, none below zero."""
 
     def __init__(self, n: int, terms: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray):
+        self.n, self.blocks = n, -(-n // BLOCK)
+        df = np.bincount(term, minlength=terms)
+        full = np.argsort(-df, kind="stable")[:DENSE]
+        full = full[df[full] * SPARSE > n]
+        self.row = np.full(terms, -1)
+        self.row[full] = np.arange(len(full))
+        self.full = np.zeros((len(full), self.blocks * BLOCK))
+        dense = self.row[term] >= 0
+        self.full[self.row[term[dense]], example[dense]] = weight[dense]
+        example, term, weight = example[~dense], term[~dense], weight[~dense]
         order = np.lexsort((example, term))
-        self.n, self.example, self.weight = n, example[order].astype(np.int32), weight[order].astype(float)
-        self.start = np.searchsorted(term[order], np.arange(terms + 1)).astype(np.int64)
+        self.example, self.weight = example[order].astype(np.int32), weight[order].astype(float)
         # per term: the blocks it has postings in, where each begins, and its largest weight there
-        block = self.example // BLOCK
-        key = term[order].astype(np.int64) * (n // BLOCK + 1) + block
+        key = term[order].astype(np.int64) * max(1, self.blocks) + self.example // BLOCK
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
-        self.block_at, self.block_id = first, block[first] if len(key) else np.empty(0, np.int32)
-        self.block_max = np.maximum.reduceat(self.weight, first) if len(key) else np.empty(0)
-        self.block_start = np.searchsorted(first, self.start).astype(np.int64)
+        self.at = np.r_[first, len(key)]
+        self.block = key[first] % max(1, self.blocks)
+        self.most = np.maximum.reduceat(self.weight, first) if len(key) else np.empty(0)
+        self.start = np.searchsorted(key[first], np.arange(terms + 1) * max(1, self.blocks))
+        self.opened = self.skipped = 0
+
+    def top(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each (terms, weights) the (example ids, dot products) of the k largest above zero; ties to the smaller id."""
+        for lo in range(0, len(queries), TOGETHER):
+            some = queries[lo : lo + TOGETHER]
+            q = np.zeros((len(some), len(self.full)))
+            for i, (terms, weights) in enumerate(some):
+                row = self.row[terms]
+                q[i, row[row >= 0]] = weights[row >= 0]
+            part = q @ self.full
+            most = part.reshape(len(some), self.blocks, BLOCK).max(axis=2) if self.blocks else np.zeros((len(some), 0))
+            for i, (terms, weights) in enumerate(some):
+                rare = self.row[terms] < 0
+                yield self._best(part[i], most[i], terms[rare], weights[rare], k)
 
-    def bounds(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(block, upper bound of any dot product in it), falling bounds; only blocks that share a term."""
-        spans = [slice(self.block_start[t], self.block_start[t + 1]) for t in terms]
-        if not spans:
-            return np.empty(0, np.int64), np.empty(0)
-        block = np.concatenate([self.block_id[s] for s in spans])
-        part = np.concatenate([self.block_max[s] * w for s, w in zip(spans, weights, strict=True)])
-        ids, back = np.unique(block, return_inverse=True)
-        bound = np.bincount(back, part, len(ids))
-        order = np.argsort(-bound, kind="stable")
-        return ids[order], bound[order]
+    def _best(self, part: np.ndarray, most: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        begin = self.start[terms]
+        many = self.start[terms + 1] - begin
+        some = many > 0
+        begin, many, weights = begin[some], many[some], weights[some]
+        runs = spread(begin, many)
+        block, share = self.block[runs], np.repeat(weights, many)
+        bound = most + np.bincount(block, self.most[runs] * share, self.blocks)
+        open_ = np.zeros(self.blocks, bool)
+        open_[np.argpartition(-bound, FIRST)[:FIRST] if self.blocks > FIRST else slice(None)] = True
+        open_ &= bound > 0
+        part, score = part.reshape(-1, BLOCK), np.zeros((self.blocks, BLOCK))
+        self._add(score, part, runs, block, share, open_)
+        first = score[open_].ravel()
+        least = np.partition(first, -k)[-k] if len(first) > k else 0.0
+        more = (bound > 0) & (bound >= least - 1e-9) & ~open_
+        if more.any():
+            self._add(score, part, runs, block, share, more)
+        n = int(open_.sum() + more.sum())
+        self.opened, self.skipped = self.opened + n, self.skipped + self.blocks - n
+        at = np.flatnonzero(score >= max(least - 1e-9, 1e-13))
+        found = np.round(score.ravel()[at], 12)
+        at, found = at[found > 0], found[found > 0]
+        best = np.lexsort((at, -found))[:k]
+        return at[best], found[best]
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(example ids, dot products) of the k largest above zero; ties to the smaller id."""
-        ids, bound = self.bounds(terms, weights)
-        best_id, best = np.empty(0, np.int64), np.empty(0)
-        lists = [(self.example[self.start[t] : self.start[t + 1]], self.weight[self.start[t] : self.start[t + 1]] * w) for t, w in zip(terms, weights, strict=True)]
-        at, step = 0, 8
-        while at < len(ids):
-            if len(best) == k and bound[at] < best[-1] - 1e-12:
-                break
-            sums = np.zeros((min(step, len(ids) - at), BLOCK))
-            for row, b in enumerate(ids[at : at + step]):
-                for e, w in lists:
-                    lo, hi = np.searchsorted(e, (b * BLOCK, b * BLOCK + BLOCK))
-                    if lo < hi:
-                        sums[row, e[lo:hi] - b * BLOCK] += w[lo:hi]
-            r, c = np.nonzero(sums > 0)
-            best_id = np.r_[best_id, ids[at : at + step][r] * BLOCK + c]
-            best = np.r_[best, sums[r, c]]
-            order = np.lexsort((best_id, -np.round(best, 12)))[:k]
-            best_id, best = best_id[order], best[order]
-            at += step
-        return best_id, best
+    def _add(self, score: np.ndarray, part: np.ndarray, runs: np.ndarray, block: np.ndarray, share: np.ndarray, chosen: np.ndarray) -> None:
+        """Add the dot products of all examples in the chosen blocks."""
+        keep = chosen[block]
+        runs, share = runs[keep], share[keep]
+        begin = self.at[runs]
+        many = self.at[runs + 1] - begin
+        postings = spread(begin, many)
+        score += np.bincount(self.example[postings], self.weight[postings] * np.repeat(share, many), score.size).reshape(score.shape)
+        score[chosen] += part[chosen]

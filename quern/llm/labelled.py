@@ -15,7 +15,7 @@ def remainder(id_col: str, k: int) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: dict[int, int], id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict[int, int]]:
     """(doc_id, text, y) of at most per_class[y] labelled ids of each class y, those with the smallest digests; and all labelled ids by class.
 
-    ``train`` says which ids may be learned from. An id with several labels counts as 1. Of rows that share an id any one is taken.
+    ``train`` says which ids may be learned from. An id with several labels counts as 1. Of rows that share an id the smallest text is taken.
     """
     known = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y")).where(train)
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -23,7 +23,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_cl
     chosen = known.where("y = 0").orderBy(*order).limit(per_class[0]).union(known.where("y = 1").orderBy(*order).limit(per_class[1]))
     body = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     # chosen has sum(per_class) rows of two numbers at most, so the broadcast's size is fixed by that parameter.
-    return body.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), counts
+    return body.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")), counts
 
 
 def class_weights(y: np.ndarray, counts: dict[int, int]) -> np.ndarray:

@@ -1,23 +1,25 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are a text's words, lower-cased and bare of outer punctuation, and the first four and five
-letters of longer words, which carry a stem through its inflections. Of these only terms that
-set toxic examples apart stay in the vectors (LIFT times as frequent in toxic examples,
-likelihood ratio at least EVIDENCE), so background words drown nothing out; terms
-cover the whole text. Texts are compared by the cosine of their TF-IDF vectors with every
-labelled example through a block-max inverted index, the K nearest vote with weights
-1 / (distance + NEAR), and a logistic curve, fitted on votes in which no example sees
-itself, gives the score. The nearest toxic examples are returned as evidence.
+Terms are the first STEM letters of a text's words, lower-cased and bare of outer punctuation: they carry a stem
+through its inflections. A letter alone is no term. Every term of every example is in
+the vectors; its weight is log frequency times idf times GROUND plus its evidence, the likelihood ratio of
+a term that leans to the toxic class, cut off at FULL. Background words so weigh little beside telling ones, and
+none is removed. Texts are compared by the cosine of these vectors with every example of both
+classes through a block-max inverted index, the K nearest vote with weights
+1 / (distance + NEAR), and a logistic curve gives the score. The nearest toxic examples are returned as evidence.
+
+The curve is fitted out of sample: examples are cut into FIT_FOLDS folds by their smallest shingle digest, so that
+copies share one, and each fold is scored by weights, idf and an index that come from the others.
 
 Examples are a bounded sample: at most SAMPLE_TOXIC labelled rows of class 1 and
-SAMPLE_OTHER of class 0. Of near copies among them (shared minimum digests of three-word runs)
-one of each class stays, so that a copied text does not turn its words into evidence. The index is built
-from that sample, so what is broadcast has a fixed bound.
-
-Defined cases: a null or empty text, or one without any such term, has no neighbour
-and scores the share of toxic ones among examples without neighbours; a null id is
-not held out; repeated rows are scored one by one; an empty table gives an empty result;
-columns that are not asked for are ignored.
+SAMPLE_OTHER of class 0, the first of them whose terms add up to SAMPLE_TERMS. In a term's evidence, examples that
+share their smallest shingle digest count as one, so that a copied text does not turn its words into
+evidence; all stay in the index. What is collected and broadcast so has a fixed bound.
+
+Defined cases: a null or empty text, or one without any term of the examples, has no neighbour
+and scores the share of toxic ones among examples without terms; a null id is
+not held out; repeated rows are scored one by one; of rows with one id and several texts the smallest text is learned
+from; an empty table gives an empty result; columns that are not asked for are ignored.
 """
 
 from __future__ import annotations
@@ -35,185 +37,173 @@ from quern.llm.block_max import BlockMaxIndex
 from quern.llm.labelled import Platt, class_weights, remainder, sample
 from quern.plans.scratch import release, stored
 
-SAMPLE_TOXIC = 4000
-SAMPLE_OTHER = 12_000
+SAMPLE_TOXIC = 1000
+SAMPLE_OTHER = 2000
+SAMPLE_TERMS = 4_000_000
 FOLDS, HELD_OUT = 4, 2
+FIT_FOLDS = 5
 THRESHOLD = 0.3
-LIFT, EVIDENCE, LEAST_TEXTS = 4.0, 20.0, 3
-TERMS = 20_000
+GROUND, FULL = 0.02, 20.0
 K, NEAR = 16, 0.05
-#: Minimum digests a text is recognised by as a near copy.
-DIGESTS = 8
-CACHED_WORDS = 500_000
+STEM = 4
 
 _OUTER = string.punctuation + "¡¿«»„“”‘’…–—"
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, evidence array<long>"
-
-
-def word_terms(word: str) -> tuple[str, ...]:
-    """The terms of one word; none if it has no letter."""
-    w = word.strip(_OUTER)
-    if len(w) < 2:
-        return ()
-    return (w, *(f"{k}:{w[:k]}" for k in (4, 5) if len(w) > k))
+VECTORS = "doc_id long, y int, copy long, terms array<string>, counts array<int>"
 
 
 def text_terms(text: str) -> Counter:
-    out: Counter = Counter()
-    for w, n in Counter(text.lower().split()).items():
-        for t in word_terms(w):
-            out[t] += n
-    return out
+    """How often a text has each term."""
+    return Counter([t for w in text.lower().split() if len(t := w.strip(_OUTER)[:STEM]) > 1])
 
 
-def _minima(text: str) -> bytes:
-    """DIGESTS minimum digests of the three-word runs of a text."""
+def _copy(text: str) -> int:
+    """The smallest digest of a text's three-word runs: near copies share it."""
     import xxhash
 
     words = text.lower().encode().split()
-    runs = {b" ".join(x) for x in zip(words, words[1:], words[2:], strict=False)} or {b" ".join(words)}
-    h = np.fromiter(map(xxhash.xxh64_intdigest, runs), np.uint64, len(runs))
-    odd = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % 2**64 for i in range(DIGESTS)], np.uint64)
-    return b"".join((((h ^ (h >> np.uint64(29))) * o) ^ np.uint64(i)).min().tobytes() for i, o in enumerate(odd))
-
-
-def _spread(rows: list) -> set[int]:
-    """One doc_id of each class from every group of near copies; rows: (doc_id, y, minima)."""
-    up = list(range(len(rows)))
-
-    def root(i: int) -> int:
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    seen: dict[tuple, int] = {}
-    for i, (_, _, minima) in enumerate(rows):
-        for k in range(DIGESTS):
-            j = seen.setdefault((k, minima[8 * k : 8 * k + 8]), i)
-            a, b = root(i), root(j)
-            up[max(a, b)] = min(a, b)
-    return {rows[i][0] for i in {(root(i), rows[i][1]): i for i in reversed(range(len(rows)))}.values()}
+    runs = zip(words, words[1:], words[2:], strict=False) if len(words) > 2 else [words]
+    return min(map(xxhash.xxh64_intdigest, map(b" ".join, runs))) - 2**63
+
+
+class Examples:
+    """Rows of (example, number of a term, count), sorted by example, with labels: what vectors are made from."""
+
+    def __init__(self, ids: np.ndarray, y: np.ndarray, copy: np.ndarray, row: np.ndarray, names: list[str], term: np.ndarray, count: np.ndarray):
+        self.ids, self.y, self.copy, self.row, self.names, self.term, self.count = ids, y, copy, row, names, term, count
+
+    def term_weights(self, chosen: np.ndarray) -> np.ndarray:
+        """Weight of each term, from the chosen examples (mask): idf times ground and evidence."""
+        n, terms = int(chosen.sum()), len(self.names)
+        keep = chosen[self.row]
+        row, term = self.row[keep], self.term[keep]
+        idf = np.log((n + 1) / (np.bincount(term, minlength=terms) + 0.5)).clip(0)
+        _, alike, many = np.unique(self.copy[chosen] * 2 + self.y[chosen], return_inverse=True, return_counts=True)
+        part = np.zeros(len(chosen))
+        part[chosen] = 1 / many[alike]
+        p, q = (np.bincount(term, part[row] * (self.y[row] == c), terms) for c in (1, 0))
+        n1, n0 = (max(1e-9, float(part[self.y == c].sum())) for c in (1, 0))
+        share = (p + q) / (n1 + n0)
+        g = 2 * (_excess(p, share * n1) + _excess(q, share * n0) + _excess(n1 - p, (1 - share) * n1) + _excess(n0 - q, (1 - share) * n0))
+        leans = (p + 0.5) / (n1 + 1) > (q + 0.5) / (n0 + 1)
+        return idf * (GROUND + np.clip(np.where(leans, g, 0), 0, FULL) / FULL)
+
+    def index(self, weights: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, BlockMaxIndex]:
+        """(numbers of the chosen examples in the index's order, the index)."""
+        keep = chosen[self.row]
+        row, term = self.row[keep], self.term[keep]
+        w = (1 + np.log(self.count[keep])) * weights[term]
+        norm = np.sqrt(np.bincount(row, w * w, len(chosen)))
+        w = w / np.where(norm > 0, norm, 1)[row]
+        # Blocks are of examples whose weight stands on the same common term; such bounds are narrow.
+        df = np.bincount(term, minlength=len(self.names))
+        best = np.lexsort((term, -w * df[term], row))
+        lead = np.full(len(chosen), -1)
+        first = best[np.r_[True, row[best][1:] != row[best][:-1]]] if len(best) else best
+        lead[row[first]] = term[first]
+        numbers = np.flatnonzero(chosen)
+        numbers = numbers[np.lexsort((self.ids[numbers], lead[numbers]))]
+        place = np.full(len(chosen), -1)
+        place[numbers] = np.arange(len(numbers))
+        return numbers, BlockMaxIndex(len(numbers), len(self.names), place[row], term, w)
+
+
+def _excess(k: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    return np.where(k > 1e-12, k * np.log(np.where(k > 1e-12, k, 1) / np.where(expected > 0, expected, 1)), 0)
 
 
 class Model:
     """Vocabulary, index, labels and calibration."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray, ids: np.ndarray, y: np.ndarray, weight: np.ndarray, index: BlockMaxIndex):
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.idf, self.ids, self.y, self.weight, self.index = idf, ids, y, weight, index
+    def __init__(self, examples: Examples, chosen: np.ndarray, class_weight: np.ndarray):
+        self.names, self.term_weight = examples.names, examples.term_weights(chosen)
+        order, self.index = examples.index(self.term_weight, chosen)
+        self.ids, self.y, self.weight = examples.ids[order], examples.y[order], class_weight[order]
+        total = self.weight.sum()
+        self.base = float((self.weight * self.y).sum() / total) if total else 0.5
+        bare = ~np.isin(order, examples.row)
+        self.alone = float(((self.weight * self.y)[bare].sum() + self.base) / (self.weight[bare].sum() + 1))
         self.curve = Platt(np.array([]), np.array([]), np.array([]))
-        self.base = self.alone = 0.5
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.number: dict[str, int] = {}
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(terms, weights) of a text, unit length; empty if it has none of the terms."""
-        found: Counter = Counter()
-        known, number = self.known, self.number
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        for w, n in Counter(text.lower().split()).items():
-            t = known.get(w)
-            if t is None:
-                t = known[w] = tuple(number[x] for x in word_terms(w) if x in number)
-            for x in t:
-                found[x] += n
-        return unit(np.array(sorted(found), np.int64), found, self.idf)
-
-    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
-        """(raw score, neighbours nearest first); ``without``: an example that does not take part."""
-        near, cosine = self.index.top(terms, weights, K + (without >= 0))
-        if without >= 0:
-            keep = near != without
-            near, cosine = near[keep][:K], cosine[keep][:K]
-        w = self.weight[near] / (np.clip(1 - cosine, 0, 1) + NEAR)
-        return float(((w * self.y[near]).sum() + self.base) / (w.sum() + 1)), near
+        """(term numbers, weights) of a text, unit length; empty if it has none of the terms."""
+        if not self.number:
+            self.number = dict(zip(self.names, range(len(self.names)), strict=True))
+        number = self.number
+        found = [(number[t], n) for t, n in text_terms(text).items() if t in number]
+        terms, counts = zip(*found, strict=True) if found else ((), ())
+        return self.unit(np.array(terms, np.int64), np.array(counts, np.int64))
+
+    def unit(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(counts)) * self.term_weight[terms]
+        keep = w > 0
+        terms, w = terms[keep], w[keep]
+        return terms, w / np.sqrt((w * w).sum()) if len(w) else w
+
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(raw score, NaN without a neighbour; neighbours nearest first) of each vector."""
+        raw, nearest = np.full(len(vectors), np.nan), []
+        for i, (near, cosine) in enumerate(self.index.top(vectors, K)):
+            w = self.weight[near] / (np.clip(1 - cosine, 0, 1) + NEAR)
+            if len(near):
+                raw[i] = ((w * self.y[near]).sum() + self.base) / (w.sum() + 1)
+            nearest.append(near)
+        return raw, nearest
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[int]]]:
-        raw, evidence = np.full(len(texts), np.nan), []
-        for i, t in enumerate(texts):
-            terms, weights = self.vector(t or "")
-            near = np.empty(0, np.int64)
-            if len(terms):
-                raw[i], near = self.vote(terms, weights)
-            evidence.append(self.ids[near[self.y[near] == 1][:3]].tolist())
+        raw, nearest = self.votes([self.vector(t or "") for t in texts])
+        evidence = [self.ids[near[self.y[near] == 1][:3]].tolist() for near in nearest]
         return np.where(np.isnan(raw), self.alone, self.curve(np.nan_to_num(raw, nan=0.5))), evidence
 
 
-def unit(terms: np.ndarray, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    w = np.array([1 + np.log(counts[t]) for t in terms.tolist()]) * idf[terms] if len(terms) else np.empty(0)
-    return terms, w / np.sqrt((w * w).sum()) if len(terms) else w
-
-
-def selected(sampled: DataFrame, n: dict[int, int], lift: float, evidence: float) -> list[str]:
-    """Terms that set toxic examples apart, strongest first; n: examples by class."""
-    schema = arrow_schema("term string, y int")
-
-    def explode(batches):
-        for b in batches:
-            for x, y in zip(column(b, 1), column(b, 2), strict=True):
-                t = list(text_terms(x))
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array([y] * len(t), pa.int32())], schema=schema)
-
-    seen = mapped(sampled, explode, "term string, y int").groupBy("term").agg(F.count_if(F.col("y") == 1).cast("double").alias("p"), F.count_if(F.col("y") == 0).cast("double").alias("q"))
-    n1, n0 = float(max(1, n.get(1, 0))), float(max(1, n.get(0, 0)))
-    share = (F.col("p") + F.col("q")) / (n1 + n0)
-    part = lambda k, expected: F.when(k > 0, k * F.log(k / expected)).otherwise(0.0)
-    ratio = 2 * (part(F.col("p"), share * n1) + part(F.col("q"), share * n0) + part(n1 - F.col("p"), (1 - share) * n1) + part(n0 - F.col("q"), (1 - share) * n0))
-    kept = seen.where((F.col("p") >= LEAST_TEXTS) & ((F.col("p") + 0.5) / n1 >= lift * (F.col("q") + 0.5) / n0)).withColumn("g", ratio).where(F.col("g") >= evidence)
-    return [r["term"] for r in kept.orderBy(F.desc("g"), "term").limit(TERMS).collect()]
+def fitted(examples: Examples, counts: dict[int, int]) -> Model:
+    """The model of all examples, its curve fitted on votes of models that have not seen the example's fold."""
+    everything = np.ones(len(examples.y), bool)
+    weight = class_weights(examples.y, counts)
+    model = Model(examples, everything, weight)
+    raw = np.full(len(examples.y), np.nan)
+    fold = examples.copy % FIT_FOLDS
+    ends = np.searchsorted(examples.row, np.arange(len(examples.y) + 1))
+    for f in np.unique(fold).tolist():
+        part, held = Model(examples, fold != f, weight), np.flatnonzero(fold == f)
+        if part.index.n:
+            rows = [slice(ends[i], ends[i + 1]) for i in held.tolist()]
+            raw[held] = part.votes([part.unit(examples.term[r], examples.count[r]) for r in rows])[0]
+    seen = ~np.isnan(raw)
+    model.curve = Platt(raw[seen], examples.y[seen], weight[seen])
+    model.index.opened = model.index.skipped = 0
+    return model
 
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text: str = "text") -> Model:
-    """Fit on labelled rows outside the held-out fold; the driver holds at most the sample's selected terms."""
+    """Fit on labelled rows outside the held-out fold; the driver holds at most SAMPLE_TERMS numbers of the sample."""
     chosen, counts = sample(docs, labels, label, remainder("doc_id", FOLDS) != HELD_OUT, {0: SAMPLE_OTHER, 1: SAMPLE_TOXIC}, id_col, text)
-    rows = stored(chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y"), "examples")
-    marks = arrow_schema("doc_id long, y int, minima binary")
-
-    def mark(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(list(map(_minima, column(b, 1))), pa.binary())], schema=marks)
-
-    spark = docs.sparkSession
-    seen = sorted((r["doc_id"], r["y"], bytes(r["minima"])) for r in mapped(rows, mark, "doc_id long, y int, minima binary").collect())
-    stay = _spread(seen)
-    apart = rows.join(F.broadcast(spark.createDataFrame([(i,) for i in sorted(stay)], "doc_id long")), "doc_id", "left_semi")  # at most the sample's ids
-    n = Counter(y for i, y, _ in seen if i in stay)
-    terms = selected(apart, n, LIFT, EVIDENCE)
-    number = {t: i for i, t in enumerate(terms)}
-    spec = "doc_id long, y int, terms array<int>, counts array<int>"
-    schema = arrow_schema(spec)
+    schema = arrow_schema(VECTORS)
 
     def vectors(batches):
-        for b in batches:
-            out = []
-            for i, x, y in zip(*(column(b, k) for k in range(3)), strict=True):
-                c = {number[t]: k for t, k in text_terms(x).items() if t in number}
-                at = sorted(c)
-                out.append((i, y, at, [c[t] for t in at]))
-            cols = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-    got = sorted(mapped(apart, vectors, spec).collect(), key=lambda r: ((min(r["terms"]) if r["terms"] else -1), r["doc_id"]))
-    release(rows)
-    df = np.bincount(np.concatenate([r["terms"] for r in got] or [[]]).astype(np.int64), minlength=len(terms))
-    idf = np.log((len(got) + 1) / (df + 0.5))
-    y = np.array([r["y"] for r in got], np.int64)
-    weight = class_weights(y, counts)
-    with_terms = [i for i, r in enumerate(got) if r["terms"]]
-    units = [unit(np.array(got[i]["terms"]), dict(zip(got[i]["terms"], got[i]["counts"], strict=True)), idf) for i in with_terms]
-    at = np.repeat(np.arange(len(units)), [len(t) for t, _ in units]) if units else np.empty(0, np.int64)
-    index = BlockMaxIndex(len(units), len(terms), at, np.concatenate([t for t, _ in units] or [np.empty(0, np.int64)]), np.concatenate([w for _, w in units] or [np.empty(0)]))
-    ids = np.array([got[i]["doc_id"] for i in with_terms], np.int64)
-    model = Model(terms, idf, ids, y[with_terms], weight[with_terms], index)
-    rest = np.setdiff1d(np.arange(len(got)), with_terms)
-    total = weight.sum()
-    model.base = float((weight * y).sum() / total) if total else 0.5
-    model.alone = float(((weight * y)[rest].sum() + model.base) / (weight[rest].sum() + 1))
-    if units:
-        raw = np.array([model.vote(t, w, without=i)[0] for i, (t, w) in enumerate(units)])
-        model.curve = Platt(raw, model.y, model.weight)
-    return model
+        for whole in batches:
+            for b in slices(whole, 1, 2_000_000):
+                rows = []
+                for i, x, y in zip(*(column(b, k) for k in range(3)), strict=True):
+                    c = text_terms(x)
+                    rows.append((i, y, _copy(x), list(c), list(c.values())))
+                cols = list(zip(*rows, strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+    made = stored(mapped(chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y"), vectors, VECTORS), "vectors")
+    sizes = sorted((r["h"], r["doc_id"], r["n"]) for r in made.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.size("terms").alias("n")).collect())  # at most the sample's rows
+    within = int((np.cumsum([n for *_, n in sizes]) <= SAMPLE_TERMS).sum()) if sizes else 0
+    last = sizes[min(within, len(sizes) - 1)][:2] if sizes else (0, 0)
+    take = made if within == len(sizes) else made.where((F.xxhash64("doc_id") < last[0]) | ((F.xxhash64("doc_id") == last[0]) & (F.col("doc_id") < last[1])))
+    got = take.toArrow().combine_chunks().sort_by("doc_id")
+    release(made)
+    y, ids, copy = (got[c].to_numpy() for c in ("y", "doc_id", "copy"))
+    many = got["terms"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False) if len(got) else np.empty(0, np.int64)
+    names = pa.chunked_array([x.flatten() for x in got["terms"].chunks], pa.string()).combine_chunks().dictionary_encode()
+    count = np.concatenate([x.flatten().to_numpy() for x in got["counts"].chunks] or [np.empty(0, np.int32)])
+    row = np.repeat(np.arange(len(y)), many)
+    return fitted(Examples(ids, y.astype(np.int64), copy, row, names.dictionary.to_pylist(), names.indices.to_numpy().astype(np.int64), count), counts)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -1,11 +1,13 @@
 import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
-from quern.llm import quality, toxicity
+from quern.llm import block_max, quality, toxicity
 from quern.llm.block_max import BlockMaxIndex
 from quern.llm.crf import Crf
 from quern.llm.labelled import Platt
@@ -43,21 +45,21 @@ def test_crf_learns():
 
 
 @pytest.mark.parametrize("seed", range(5))
-def test_block_max_equals_full_scan(seed):
+def test_block_max_equals_full_scan(seed, monkeypatch):
     rng = np.random.default_rng(seed)
     n, terms = 700, 30
     dense = rng.random((n, terms)) * (rng.random((n, terms)) < 0.08)
     dense[5] = dense[400]
     e, t = np.nonzero(dense)
+    monkeypatch.setattr(block_max, "DENSE", 5 * (seed % 3))
     index = BlockMaxIndex(n, terms, e, t, dense[e, t])
-    for _ in range(20):
-        q = np.unique(rng.integers(0, terms, rng.integers(1, 6)))
-        w = rng.random(len(q))
-        ids, score = index.top(q, w, 9)
+    asked = [(q, rng.random(len(q))) for q in (np.unique(rng.integers(0, terms, rng.integers(1, 6))) for _ in range(90))]
+    for (q, w), (ids, score) in zip(asked, index.top(asked, 9), strict=True):
         full = dense[:, q] @ w
         order = [i for i in np.lexsort((np.arange(n), -np.round(full, 12))) if full[i] > 0][:9]
         assert ids.tolist() == order
         assert np.allclose(score, full[order])
+    assert index.skipped
 
 
 def test_platt_is_calibrated():
@@ -112,6 +114,81 @@ def test_held_out_accuracy_and_edges(spark, kind, label, k, fold):
     assert again == pytest.approx(by)
 
 
+def naive_toxicity(docs, labels):
+    """Scores of all texts by whole matrices: weights, cosines with every example, votes, curve."""
+    edge = toxicity._OUTER
+    terms = lambda t: Counter(x for w in (t or "").lower().split() if len(x := w.strip(edge)[:4]) > 1)
+    known = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    rows = sorted((i, text or "") for i, text, *_ in docs if i in known)
+    vocabulary = sorted({t for _, x in rows for t in terms(x)})
+    at = {t: k for k, t in enumerate(vocabulary)}
+    tf = lambda x: np.array([[np.log(c[t]) + 1 if c[t] else 0.0 for t in vocabulary] for c in [terms(x)]])[0]
+    examples, y = np.array([tf(x) for _, x in rows]), np.array([known[i] for i, _ in rows])
+    shingle = [min(xxhash.xxh64_intdigest(" ".join(r)) for r in (list(zip(w, w[1:], w[2:])) if len(w) > 2 else [w])) - 2**63 for w in (x.lower().split() for _, x in rows)]
+    fold = np.array([s % 5 for s in shingle])
+
+    def weights(use):
+        p, q, n1, n0, df = (np.zeros(len(at)), np.zeros(len(at)), 0.0, 0.0, (examples[use] > 0).sum(axis=0))
+        for i in use:
+            share = 1 / sum(shingle[j] == shingle[i] and y[j] == y[i] for j in use)
+            has = (examples[i] > 0) * share
+            p, q, n1, n0 = (p + has, q, n1 + share, n0) if y[i] else (p, q + has, n1, n0 + share)
+        out = np.zeros(len(at))
+        for k in range(len(at)):
+            g = 0.0
+            for have, n in ((p[k], n1), (q[k], n0)):
+                s = (p[k] + q[k]) / (n1 + n0)
+                for part, expected in ((have, s * n), (n - have, (1 - s) * n)):
+                    g += 2 * part * np.log(part / expected) if part > 1e-12 else 0
+            leans = (p[k] + 0.5) / (n1 + 1) > (q[k] + 0.5) / (n0 + 1)
+            out[k] = max(0, np.log((len(use) + 1) / (df[k] + 0.5))) * (0.02 + (min(max(g, 0), 20) / 20 if leans else 0))
+        return out
+
+    unit = lambda x: x / (np.sqrt((x * x).sum()) or 1)
+
+    def raw(x, use, w):
+        cos = np.array([unit(examples[i] * w) @ unit(x * w) for i in use])
+        near = [i for i in np.lexsort((np.arange(len(use)), -np.round(cos, 12))) if np.round(cos[i], 12) > 0][:16]
+        v = np.array([1 / (min(max(1 - cos[i], 0), 1) + 0.05) for i in near])
+        return (sum(v * y[[use[i] for i in near]]) + y[use].mean()) / (v.sum() + 1) if near else None
+
+    everything = list(range(len(rows)))
+    seen, target = [], []
+    for f in set(fold):
+        use = [i for i in everything if fold[i] != f]
+        w = weights(use)
+        for i in everything:
+            if fold[i] == f and (r := raw(examples[i], use, w)) is not None:
+                seen.append(r)
+                target.append(y[i])
+    curve = Platt(np.array(seen), np.array(target), np.ones(len(seen)))
+    w = weights(everything)
+    votes = [raw(tf(text), everything, w) for _, text, *_ in docs]
+    return [None if r is None else float(curve(np.array([r]))[0]) for r in votes]
+
+
+def test_toxicity_equals_the_naive_scores(spark):
+    docs, labels = labelled_rows(140)
+    docs += [(500, docs[5][1], "en", 1, "s"), (501, docs[5][1], "en", 1, "s"), (502, "zzz qqq", "en", 1, "s")]
+    labels += [(500, 1, 1), (501, 0, 0)]
+    d, lab = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.trained(d, lab)
+    assert model.index.n == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, *_ in labels)  # every labelled row of both classes
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(d, model).collect()}
+    want = naive_toxicity(docs, labels)
+    assert [got[i] for i, *_ in docs[:-1]] == pytest.approx(want[:-1], abs=1e-6) and want[-1] is None and got[502] == pytest.approx(model.alone)
+
+
+@pytest.mark.parametrize("kind", [quality, toxicity])
+def test_a_very_long_text_and_clashing_names(spark, kind):
+    docs, labels = labelled_rows(60)
+    long = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(60_000))
+    d = spark.createDataFrame([(*x, 1, 2, 3, 4) for x in [*docs, (900, long, "en", 1, "s")]], SCHEMA + ", `a.b` int, held_out int, terms int, copy int")
+    lab = spark.createDataFrame([*labels, (900, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = kind.scored(d, kind.trained(d, lab)).collect()
+    assert len(rows) == 61 and all(0 <= r["score"] <= 1 for r in rows)
+
+
 @pytest.mark.parametrize("kind", [quality, toxicity])
 def test_empty_tables(spark, kind):
     d = spark.createDataFrame([], SCHEMA)
