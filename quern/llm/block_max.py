@@ -12,7 +12,7 @@ matrix product for many queries, and its largest value in a block, an exact one,
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -20,9 +20,9 @@ BLOCK = 64
 #: Blocks that are opened first.
 FIRST = 4
 #: Full rows; only terms that more than one example of SPARSE has get one.
-DENSE, SPARSE = 192, 32
-#: Queries of one matrix product.
-TOGETHER = 64
+DENSE, SPARSE = 400, 32
+#: Queries that are worked through at a time.
+TOGETHER = 16
 
 
 def spread(start: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -55,52 +55,59 @@ class BlockMaxIndex:
         self.start = np.searchsorted(key[first], np.arange(terms + 1) * max(1, self.blocks))
         self.opened = self.skipped = 0
 
-    def top(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each (terms, weights) the (example ids, dot products) of the k largest above zero; ties to the smaller id."""
-        for lo in range(0, len(queries), TOGETHER):
-            some = queries[lo : lo + TOGETHER]
-            q = np.zeros((len(some), len(self.full)))
-            for i, (terms, weights) in enumerate(some):
-                row = self.row[terms]
-                q[i, row[row >= 0]] = weights[row >= 0]
-            part = q @ self.full
-            most = part.reshape(len(some), self.blocks, BLOCK).max(axis=2) if self.blocks else np.zeros((len(some), 0))
-            for i, (terms, weights) in enumerate(some):
-                rare = self.row[terms] < 0
-                yield self._best(part[i], most[i], terms[rare], weights[rare], k)
+    def top(self, query: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of n queries, given as sorted rows of (query, term, weight), the (example ids, dot products) of the k largest above zero; ties to the smaller id."""
+        ends = np.searchsorted(query, np.arange(0, n + TOGETHER, TOGETHER))
+        for i, (lo, hi) in enumerate(zip(ends, ends[1:], strict=False)):
+            yield from self._some(query[lo:hi] - i * TOGETHER, terms[lo:hi], weights[lo:hi], min(TOGETHER, n - i * TOGETHER), k)
 
-    def _best(self, part: np.ndarray, most: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        begin = self.start[terms]
-        many = self.start[terms + 1] - begin
-        some = many > 0
-        begin, many, weights = begin[some], many[some], weights[some]
+    def _some(self, query: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        row = self.row[terms]
+        dense = row >= 0
+        q = np.zeros((n, len(self.full)))
+        q[query[dense], row[dense]] = weights[dense]
+        part = (q @ self.full).reshape(n, self.blocks, BLOCK)
+        # the rest by term, so that postings are met again while they are near
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        begin = self.start[terms[rare]]
+        many = self.start[terms[rare] + 1] - begin
         runs = spread(begin, many)
-        block, share = self.block[runs], np.repeat(weights, many)
-        bound = most + np.bincount(block, self.most[runs] * share, self.blocks)
-        open_ = np.zeros(self.blocks, bool)
-        open_[np.argpartition(-bound, FIRST)[:FIRST] if self.blocks > FIRST else slice(None)] = True
+        share, cell = np.repeat(weights[rare], many), np.repeat(query[rare] * self.blocks, many) + self.block[runs]
+        bound = np.bincount(cell, self.most[runs] * share, n * self.blocks).astype(float).reshape(n, self.blocks)
+        if self.blocks:
+            bound += part.max(axis=2)
+        open_ = np.zeros(bound.shape, bool)
+        first = np.argpartition(-bound, FIRST, axis=1)[:, :FIRST] if self.blocks > FIRST else np.tile(np.arange(self.blocks), (n, 1))
+        np.put_along_axis(open_, first, True, axis=1)
         open_ &= bound > 0
-        part, score = part.reshape(-1, BLOCK), np.zeros((self.blocks, BLOCK))
-        self._add(score, part, runs, block, share, open_)
-        first = score[open_].ravel()
-        least = np.partition(first, -k)[-k] if len(first) > k else 0.0
-        more = (bound > 0) & (bound >= least - 1e-9) & ~open_
-        if more.any():
-            self._add(score, part, runs, block, share, more)
-        n = int(open_.sum() + more.sum())
-        self.opened, self.skipped = self.opened + n, self.skipped + self.blocks - n
-        at = np.flatnonzero(score >= max(least - 1e-9, 1e-13))
-        found = np.round(score.ravel()[at], 12)
-        at, found = at[found > 0], found[found > 0]
-        best = np.lexsort((at, -found))[:k]
-        return at[best], found[best]
+        score = np.zeros(part.shape)
+        self._add(score, part, runs, cell, share, open_)
+        least = self._kth(score, k)
+        more = (bound > 0) & (bound >= least[:, None] - 1e-9) & ~open_
+        self._add(score, part, runs, cell, share, more)
+        opened = int(open_.sum() + more.sum())
+        self.opened, self.skipped = self.opened + opened, self.skipped + open_.size - opened
+        least = np.maximum(self._kth(score, k) - 1e-9, 1e-13)
+        flat = score.reshape(n, -1)
+        for i in range(n):
+            at = np.flatnonzero(flat[i] >= least[i])
+            found = np.round(flat[i][at], 12)
+            at, found = at[found > 0], found[found > 0]
+            best = np.lexsort((at, -found))[:k]
+            yield at[best], found[best]
 
-    def _add(self, score: np.ndarray, part: np.ndarray, runs: np.ndarray, block: np.ndarray, share: np.ndarray, chosen: np.ndarray) -> None:
-        """Add the dot products of all examples in the chosen blocks."""
-        keep = chosen[block]
-        runs, share = runs[keep], share[keep]
+    @staticmethod
+    def _kth(score: np.ndarray, k: int) -> np.ndarray:
+        flat = score.reshape(len(score), -1)
+        return np.partition(flat, -k, axis=1)[:, -k] if flat.shape[1] > k else np.zeros(len(flat))
+
+    def _add(self, score: np.ndarray, part: np.ndarray, runs: np.ndarray, cell: np.ndarray, share: np.ndarray, chosen: np.ndarray) -> None:
+        """Add the dot products of all examples in the chosen blocks; cell: query * blocks + block of each run."""
+        keep = chosen.ravel()[cell]
+        runs, share, own = runs[keep], share[keep], cell[keep] // max(1, self.blocks) * (self.blocks * BLOCK)
         begin = self.at[runs]
         many = self.at[runs + 1] - begin
         postings = spread(begin, many)
-        score += np.bincount(self.example[postings], self.weight[postings] * np.repeat(share, many), score.size).reshape(score.shape)
+        score += np.bincount(self.example[postings] + np.repeat(own, many), self.weight[postings] * np.repeat(share, many), score.size).reshape(score.shape)
         score[chosen] += part[chosen]

@@ -25,10 +25,10 @@ from; an empty table gives an empty result; columns that are not asked for are i
 from __future__ import annotations
 
 import string
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,9 +52,13 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int, evidence a
 VECTORS = "doc_id long, y int, copy long, terms array<string>, counts array<int>"
 
 
-def text_terms(text: str) -> Counter:
-    """How often a text has each term."""
-    return Counter([t for w in text.lower().split() if len(t := w.strip(_OUTER)[:STEM]) > 1])
+def stems(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(number of the text, term) of every word of at least two letters or digits, in order."""
+    words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    many = pc.list_value_length(words).to_numpy()
+    terms = pc.utf8_slice_codeunits(pc.utf8_trim(words.flatten(), _OUTER), 0, STEM)
+    long = pc.greater(pc.utf8_length(terms), 1)
+    return np.repeat(np.arange(len(texts)), many)[long.to_numpy(zero_copy_only=False)], terms.filter(long)
 
 
 def _copy(text: str) -> int:
@@ -124,35 +128,36 @@ class Model:
         bare = ~np.isin(order, examples.row)
         self.alone = float(((self.weight * self.y)[bare].sum() + self.base) / (self.weight[bare].sum() + 1))
         self.curve = Platt(np.array([]), np.array([]), np.array([]))
-        self.number: dict[str, int] = {}
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(term numbers, weights) of a text, unit length; empty if it has none of the terms."""
-        if not self.number:
-            self.number = dict(zip(self.names, range(len(self.names)), strict=True))
-        number = self.number
-        found = [(number[t], n) for t, n in text_terms(text).items() if t in number]
-        terms, counts = zip(*found, strict=True) if found else ((), ())
-        return self.unit(np.array(terms, np.int64), np.array(counts, np.int64))
-
-    def unit(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.vocabulary: pa.Array | None = None
+
+    def vectors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, weight): the unit vectors of the texts over the examples' terms, sorted by text."""
+        if self.vocabulary is None:
+            self.vocabulary = pa.array(self.names, pa.string())
+        row, found = stems(texts)
+        at = pc.index_in(found, value_set=self.vocabulary)
+        known = at.is_valid().to_numpy(zero_copy_only=False)
+        keys, counts = np.unique(row[known] * max(1, len(self.names)) + at.drop_null().to_numpy(), return_counts=True)
+        return self.unit(keys // max(1, len(self.names)), keys % max(1, len(self.names)), counts, len(texts))
+
+    def unit(self, row: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         w = (1 + np.log(counts)) * self.term_weight[terms]
         keep = w > 0
-        terms, w = terms[keep], w[keep]
-        return terms, w / np.sqrt((w * w).sum()) if len(w) else w
+        row, terms, w = row[keep], terms[keep], w[keep]
+        return row, terms, w / np.sqrt(np.bincount(row, w * w, n))[row]
 
-    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """(raw score, NaN without a neighbour; neighbours nearest first) of each vector."""
-        raw, nearest = np.full(len(vectors), np.nan), []
-        for i, (near, cosine) in enumerate(self.index.top(vectors, K)):
+    def votes(self, row: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(raw score, NaN without a neighbour; neighbours nearest first) of each of n vectors."""
+        raw, nearest = np.full(n, np.nan), []
+        for i, (near, cosine) in enumerate(self.index.top(row, terms, weights, n, K)):
             w = self.weight[near] / (np.clip(1 - cosine, 0, 1) + NEAR)
             if len(near):
                 raw[i] = ((w * self.y[near]).sum() + self.base) / (w.sum() + 1)
             nearest.append(near)
         return raw, nearest
 
-    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[int]]]:
-        raw, nearest = self.votes([self.vector(t or "") for t in texts])
+    def scores(self, texts: pa.Array) -> tuple[np.ndarray, list[list[int]]]:
+        raw, nearest = self.votes(*self.vectors(texts), len(texts))
         evidence = [self.ids[near[self.y[near] == 1][:3]].tolist() for near in nearest]
         return np.where(np.isnan(raw), self.alone, self.curve(np.nan_to_num(raw, nan=0.5))), evidence
 
@@ -164,12 +169,11 @@ def fitted(examples: Examples, counts: dict[int, int]) -> Model:
     model = Model(examples, everything, weight)
     raw = np.full(len(examples.y), np.nan)
     fold = examples.copy % FIT_FOLDS
-    ends = np.searchsorted(examples.row, np.arange(len(examples.y) + 1))
     for f in np.unique(fold).tolist():
         part, held = Model(examples, fold != f, weight), np.flatnonzero(fold == f)
         if part.index.n:
-            rows = [slice(ends[i], ends[i + 1]) for i in held.tolist()]
-            raw[held] = part.votes([part.unit(examples.term[r], examples.count[r]) for r in rows])[0]
+            keep = (fold == f)[examples.row]
+            raw[held] = part.votes(*part.unit(np.searchsorted(held, examples.row[keep]), examples.term[keep], examples.count[keep], len(held)), len(held))[0]
     seen = ~np.isnan(raw)
     model.curve = Platt(raw[seen], examples.y[seen], weight[seen])
     model.index.opened = model.index.skipped = 0
@@ -184,12 +188,14 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: st
     def vectors(batches):
         for whole in batches:
             for b in slices(whole, 1, 2_000_000):
-                rows = []
-                for i, x, y in zip(*(column(b, k) for k in range(3)), strict=True):
-                    c = text_terms(x)
-                    rows.append((i, y, _copy(x), list(c), list(c.values())))
-                cols = list(zip(*rows, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+                row, terms = stems(b.column(1))
+                terms = terms.dictionary_encode()
+                size = max(1, len(terms.dictionary))
+                keys, times = np.unique(row * size + terms.indices.to_numpy(), return_counts=True)
+                ends = pa.array(np.searchsorted(keys, np.arange(b.num_rows + 1) * size), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (terms.dictionary.take(pa.array(keys % size)), pa.array(times, pa.int32()))]
+                copies = [_copy(x) for x in column(b, 1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(copies, pa.int64()), *(x.cast(f.type) for x, f in zip(lists, list(schema)[3:], strict=True))], schema=schema)
 
     made = stored(mapped(chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y"), vectors, VECTORS), "vectors")
     sizes = sorted((r["h"], r["doc_id"], r["n"]) for r in made.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.size("terms").alias("n")).collect())  # at most the sample's rows
@@ -215,7 +221,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "t
         m = shared.value
         for whole in batches:
             for b in slices(whole, 2):
-                score, evidence = m.scores(column(b, 2))
+                score, evidence = m.scores(b.column(2))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(evidence, schema.field(4).type)], schema=schema)
 
     held = F.coalesce(remainder(id_col, FOLDS) == HELD_OUT, F.lit(False))

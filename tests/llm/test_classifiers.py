@@ -54,7 +54,8 @@ def test_block_max_equals_full_scan(seed, monkeypatch):
     monkeypatch.setattr(block_max, "DENSE", 5 * (seed % 3))
     index = BlockMaxIndex(n, terms, e, t, dense[e, t])
     asked = [(q, rng.random(len(q))) for q in (np.unique(rng.integers(0, terms, rng.integers(1, 6))) for _ in range(90))]
-    for (q, w), (ids, score) in zip(asked, index.top(asked, 9), strict=True):
+    flat = [np.concatenate([x[k] for x in asked]) for k in (0, 1)]
+    for (q, w), (ids, score) in zip(asked, index.top(np.repeat(np.arange(90), [len(q) for q, _ in asked]), *flat, 90, 9), strict=True):
         full = dense[:, q] @ w
         order = [i for i in np.lexsort((np.arange(n), -np.round(full, 12))) if full[i] > 0][:9]
         assert ids.tolist() == order
