@@ -11,13 +11,14 @@ its stretch of the sum crosses.
 Half of a source's documents (by digest) stand first, in rising size classes, the
 others after them in falling ones. Neighbours so have about the same size, what one
 gains by rounding the next one loses, and the offset's own part cancels between the
-halves. Ranks come from counts of small buckets (source, signed size class, digest
-byte): no task sorts a whole source.
+halves. Texts are read once; rows are then numbered by sorting in ranges, a row's number in the input
+last, so no task sorts a whole source and rows that are alike in everything are spread too.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 the last one; a source without words has target 0 and its documents zero expected
 copies; repeated rows each have a place of their own in the order; an empty
-table gives an empty result; columns that are not asked for are ignored.
+table gives an empty result; columns that are not asked for are ignored; ``mixed`` keeps all columns,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators.explore import with_index
+from quern.plans.scratch import stored
+
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
@@ -64,16 +68,17 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int =
 
 
 def placed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", keep_rows: bool = False) -> DataFrame:
-    """(doc_id, source, size, class, part, digest, tie[, row]): a document's size and its place in its source's order.
+    """(doc_id, source, size, class, part, turn, digest, tie, m[, row]): a document's size and its place in its source's order.
 
     class grows with the size, sixteen steps an octave from 32 words on, in integer arithmetic; it is
     shifted below zero in the rising half and negated in the falling one, so that it orders both.
     """
-    digest = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("?")), F.lit("mix")))
-    body = F.col(text).cast("string")
+    id_, body, own = (F.col(f"`{c}`") for c in (id_col, text, source))
+    digest = F.md5(F.concat_ws("|", F.coalesce(id_.cast("string"), F.lit("?")), F.lit("mix")))
+    body = body.cast("string")
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(body).alias("size"), digest.alias("digest"), F.xxhash64(body).alias("tie"),
-        *([F.struct(*map(F.col, docs.columns)).alias("row")] if keep_rows else []),
+        id_.alias("doc_id"), own.cast("string").alias("source"), word_count(body).alias("size"), digest.alias("digest"), F.xxhash64(body).alias("tie"), F.monotonically_increasing_id().alias("m"),
+        *([F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("row")] if keep_rows else []),
     )
     bits = F.length(F.bin("size"))
     step = F.expr("shiftright(size, length(bin(size)) - 5)")
@@ -89,32 +94,22 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source:
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", offset: float = OFFSET, keep_rows: bool = False, **kind) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies (and its row, if asked for)."""
-    rows = placed(docs, id_col, text, source, keep_rows)
-    key = ["source", "class", "part"]
-    counted = placed(docs, id_col, text, source).groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    # Prefix sums in two levels: a source has at most a thousand classes, a class 256 digest bytes.
-    earlier = Window.unboundedPreceding, -1
-    in_source = Window.partitionBy("source").orderBy("class").rowsBetween(*earlier)
-    in_class = Window.partitionBy("source", "class").orderBy("part").rowsBetween(*earlier)
-    sums = counted.groupBy("source", "class").agg(F.sum("n").alias("in_all"))
-    classes = sums.select(F.col("source").alias("c_source"), F.col("class").alias("c_class"), F.coalesce(F.sum("in_all").over(in_source), F.lit(0)).alias("c_start"))
-    same = F.col("source").eqNullSafe(F.col("c_source")) & (F.col("class") == F.col("c_class"))
-    starts = counted.withColumn("p_start", F.coalesce(F.sum("n").over(in_class), F.lit(0))).join(classes, same).withColumn("start", F.col("c_start") + F.col("p_start"))
-    aimed = targets(counted.groupBy("source").agg(F.sum("words").alias("source_size")), **kind).withColumnRenamed("source", "a_source")
-    plan = starts.join(aimed, F.col("source").eqNullSafe(F.col("a_source"))).select(*(F.col(c).alias(f"p_{c}") for c in key), "start", "source_size", "target")
-    inside = Window.partitionBy(*key).orderBy("turn", "digest", F.col("doc_id").asc_nulls_last(), "tie")
-    ranked = rows.withColumn("i", F.row_number().over(inside) - 1)
-    matched = F.col("source").eqNullSafe(F.col("p_source")) & (F.col("class") == F.col("p_class")) & (F.col("part") == F.col("p_part"))
+    rows = placed(docs, id_col, text, source, keep_rows).withColumn("unnamed", F.col("source").isNull())
+    ranked = with_index(rows, "unnamed", "source", "class", "part", "turn", "digest", "doc_id", "tie", "m", name="at")
+    sums = ranked.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("at").alias("start"))
+    sums = stored(sums, "sources")
+    aimed = targets(sums.select("source", "source_size"), **kind).toDF("a_source", "source_size", "target")
+    plan = aimed.join(sums.select(F.col("source").alias("p_source"), "start"), F.col("a_source").eqNullSafe(F.col("p_source"))).drop("p_source")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    at = F.col("start") + F.col("i")
+    at = F.col("at") - F.col("start")
     crossed = F.floor(F.lit(offset) + (at + 1) * F.col("e")) - F.floor(F.lit(offset) + at * F.col("e"))
-    return ranked.join(plan, matched).withColumn("e", expected).select("doc_id", "source", "size", "source_size", "target", crossed.alias("copies"), *(["row"] if keep_rows else []))
+    return ranked.join(plan, F.col("source").eqNullSafe(F.col("a_source"))).withColumn("e", expected).select("doc_id", "source", "size", "source_size", "target", crossed.alias("copies"), *(["row"] if keep_rows else []))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents with all their columns, each as often as the mix takes it (not at all, once or twice)."""
     took = copies(docs, id_col, text, source, keep_rows=True).where("copies > 0")
-    return took.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
+    return took.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*").toDF(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
