@@ -44,6 +44,11 @@ def give_back() -> None:
         pass
 
 
+def positional(df: DataFrame) -> DataFrame:
+    """df with its columns named c0, c1, ...: plans then hold whatever the names are, dots and clashes included."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def arrow_schema(df_or_ddl: str | StructType) -> pa.Schema:
     """The Arrow schema that Spark expects for a DDL string or struct type."""
     kind = _parse_datatype_string(df_or_ddl) if isinstance(df_or_ddl, str) else df_or_ddl

@@ -20,14 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.batches import arrow_schema, column, mapped
+from quern.llm.batches import arrow_schema, column, mapped, positional, slices
 
 SYMBOLS = "#*$%&|<>"
 SPACES = "\t\n\x0b\x0c\r "
 MIN_WORDS = 50
-#: Rows of the sample on which costs and selectivities are estimated.
+#: Expected rows of the sample on which costs and selectivities are estimated.
 SAMPLE_ROWS = 512
-SAMPLE_SHARE = 0.05
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 SCHEMA = f"doc_id long, {COUNTS}, base_failed boolean, kept boolean"
@@ -109,10 +108,11 @@ RULES: dict[str, Callable[[Text], bool]] = {
 
 
 def estimate(docs: DataFrame, rules: dict[str, Callable], text: str = "text") -> list[tuple[str, float, float]]:
-    """(rule, seconds a row, share rejected) on a sample of at most SAMPLE_ROWS rows.
+    """(rule, seconds a row, share rejected) on a sample of about SAMPLE_ROWS rows, drawn from all partitions.
 
-    The sample stays on the executors; the driver gets two numbers a rule and batch.
+    Sampled rows are measured where they are read; the driver gets two sums a rule.
     """
+    n = docs.count()
 
     def measure(batches):
         for b in batches:
@@ -122,9 +122,10 @@ def estimate(docs: DataFrame, rules: dict[str, Callable], text: str = "text") ->
                 began = time.perf_counter()
                 rejected = sum(map(rule, texts))
                 rows.append((name, time.perf_counter() - began, rejected, len(texts)))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["rule", "s", "rejected", "rows"])
+            if rows and rows[0][3]:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["rule", "s", "rejected", "rows"])
 
-    sample = docs.select(F.col(text).cast("string").alias("text")).sample(fraction=SAMPLE_SHARE, seed=7).limit(SAMPLE_ROWS)
+    sample = docs.select(F.col(f"`{text}`").cast("string").alias("text")).sample(fraction=min(1.0, SAMPLE_ROWS / max(1, n)), seed=7)
     seen = mapped(sample, measure, "rule string, s double, rejected long, rows long").groupBy("rule").agg(F.sum("s").alias("s"), F.sum("rejected").alias("rejected"), F.sum("rows").alias("rows"))
     found = {r["rule"]: (r["s"] / r["rows"], r["rejected"] / r["rows"]) for r in seen.collect() if r["rows"]}
     return [(name, *found.get(name, (0.0, 0.0))) for name in rules]
@@ -144,15 +145,17 @@ def first_rejection(t: Text, rules: Sequence[tuple[str, Callable]]) -> str | Non
 
 
 def filtered(docs: DataFrame, text: str = "text", rules: dict[str, Callable] = RULES) -> DataFrame:
-    """The rows of docs, all columns as they are, that no rule rejects."""
+    """The rows of docs, all columns as they are and whatever their names, that no rule rejects."""
     cascade = [(n, rules[n]) for n in ordered(estimate(docs, rules, text))]
     at = docs.columns.index(text)
+    rows = positional(docs)
 
     def run(batches):
-        for b in batches:
-            yield b.filter(pa.array([first_rejection(Text(x), cascade) is None for x in column(b, at)], pa.bool_()))
+        for whole in batches:
+            for b in slices(whole, at):
+                yield b.filter(pa.array([first_rejection(Text(x), cascade) is None for x in b.column(at).to_pylist()], pa.bool_()))
 
-    return mapped(docs, run, docs.schema)
+    return mapped(rows, run, rows.schema).toDF(*docs.columns)
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: dict[str, Callable] = RULES) -> DataFrame:
@@ -161,15 +164,16 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: d
     schema = arrow_schema(SCHEMA)
 
     def run(batches):
-        for b in batches:
-            rows = []
-            for x in column(b, 1):
-                t = Text(x)
-                rows.append((t.n_words, t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, t.base_failed, not t.base_failed and first_rejection(t, cascade) is None))
-            cols = list(zip(*rows, strict=True)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:], strict=True))], schema=schema)
-
-    return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, SCHEMA)
+        for whole in batches:
+            for b in slices(whole, 1):
+                rows = []
+                for x in column(b, 1):
+                    t = Text(x)
+                    rows.append((t.n_words, t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, t.base_failed, not t.base_failed and first_rejection(t, cascade) is None))
+                cols = list(zip(*rows, strict=True)) or [[]] * 7
+                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:], strict=True))], schema=schema)
+
+    return mapped(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")), run, SCHEMA)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
