@@ -5,19 +5,21 @@ repeats, word lengths) and that of the lines before and after it; the field adds
 neighbour's state says. Forward-backward marginals, weighted by line length, are the
 document's quality, and a logistic curve maps that to the chance of label 1.
 
-The field is fitted on a bounded sample: at most SAMPLE_ROWS labelled rows of each class that
-have at most SAMPLE_LINES lines; a document's label holds for all its lines. Every
+The field is fitted on a bounded sample: at most SAMPLE_ROWS labelled rows of each class, whole texts, the first
+of them whose lines add up to SAMPLE_LINES; a document's label holds for all its lines. The curve is fitted
+on raw scores from FIT_FOLDS fields, none of which has seen the text or a copy of it. Every
 document is scored over its whole text.
 
 Defined cases: a null text and one without words have no line and score the share of label
 1 among all labelled rows that may be learned from (0.5 if there are none); a null id is
 not held out; repeated rows are scored one by one; an empty table gives an empty result;
-columns that are not asked for are ignored.
+columns that are not asked for are ignored; of rows with one id and several texts the smallest text is learned from.
 """
 
 from __future__ import annotations
 
 import operator
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -28,14 +30,17 @@ from pyspark.sql import functions as F
 from quern.llm.batches import arrow_schema, column, mapped, slices
 from quern.llm.crf import Crf
 from quern.llm.labelled import Platt, class_weights, remainder, sample
+from quern.plans.scratch import release, stored
 
 SAMPLE_ROWS = 3000
-SAMPLE_LINES = 2000
+SAMPLE_LINES = 300_000
+FIT_FOLDS = 3
 FOLDS = 5
 THRESHOLD = 0.3
 
 _SYMBOLS = "#*$%&|<>{}[]=_~^@\\/+"
 _N = 16
+MADE = "doc_id string, y int, n int, own binary, size binary"
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_lines long"
 
 
@@ -92,38 +97,64 @@ class Model:
 
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS, lines: int = SAMPLE_LINES) -> Model:
-    """Fit on labelled rows outside the held-out fold. The executors make the features; the driver gets 2 * rows * lines * _N numbers at most."""
+    """Fit on labelled rows outside the held-out fold. The executors make the features; the driver gets lines * (_N + 1) numbers at most."""
     chosen, counts = sample(docs, labels, label, remainder("doc_id", FOLDS) != 0, {0: rows, 1: rows}, id_col, text)
-    schema = arrow_schema("y int, own binary, size binary")
+    schema = arrow_schema(MADE)
 
     def run(batches):
-        for b in batches:
-            out = []
-            for x, y in zip(column(b, 1), column(b, 2), strict=True):
-                f, w = features(x)
-                if 0 < len(w) <= lines:
-                    out.append((y, f[:, :_N].astype(np.float32).tobytes(), w.astype(np.float32).tobytes()))
-            cols = list(zip(*out, strict=True)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-    got = mapped(chosen, run, "y int, own binary, size binary").collect()
-    got.sort(key=lambda r: (r["y"], bytes(r["own"])))  # whatever order the rows come in, the same model
+        for whole in batches:
+            for b in slices(whole, 1, 2_000_000):
+                out = []
+                for i, x, y in zip(*(column(b, k) for k in range(3)), strict=True):
+                    f, w = features(x)
+                    if len(w):
+                        out.append((i, y, len(w), f[:, :_N].astype(np.float32).tobytes(), w.astype(np.float32).tobytes()))
+                cols = list(zip(*out, strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+    made = stored(mapped(chosen.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "y"), run, MADE), "features")
+    sizes = sorted((r["h"], r["doc_id"], r["n"]) for r in made.select(F.xxhash64("doc_id").alias("h"), "doc_id", "n").collect())  # at most 2 * rows
+    within = {i for (_, i, _), n in zip(sizes, np.cumsum([n for *_, n in sizes]), strict=True) if n <= lines}
+    keep = made if len(within) == len(sizes) else made.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in sorted(within)], "doc_id string")), "doc_id", "left_semi")
+    got = keep.select("y", "own", "size").collect()
+    release(made)
+    got.sort(key=lambda r: (r["y"], bytes(r["own"]), bytes(r["size"])))  # whatever order the rows come in, the same model
     total = sum(counts.values())
     prior = counts.get(1, 0) / total if total else 0.5
-    crf = Crf(3 * _N)
+    none = Platt(np.array([]), np.array([]), np.array([]))
     if len({r["y"] for r in got}) < 2:
-        return Model(crf, Platt(np.array([]), np.array([]), np.array([])), prior)
+        return Model(Crf(3 * _N), none, prior)
     own = [np.frombuffer(r["own"], np.float32).reshape(-1, _N).astype(float) for r in got]
-    none = np.zeros((1, _N))
-    x = np.vstack([np.hstack([o, np.vstack([none, o[:-1]]), np.vstack([o[1:], none])]) for o in own])
-    lengths = np.array([len(o) for o in own])
+    size = [np.frombuffer(r["size"], np.float32).astype(float) for r in got]
     y = np.array([r["y"] for r in got])
-    size = np.concatenate([np.frombuffer(r["size"], np.float32) for r in got]).astype(float)
-    balance = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
-    crf.fit(x, lengths, y, balance)
-    model = Model(crf, Platt(np.array([]), np.array([]), np.array([])), prior)
-    model.curve = Platt(model.raw(x, size, lengths), y, class_weights(y, counts))
-    return model
+    fold = np.array([zlib.crc32(r["own"]) % FIT_FOLDS for r in got])
+    raw = np.full(len(y), np.nan)
+    for f in range(FIT_FOLDS):
+        held = np.flatnonzero(fold == f)
+        if len(held) and len(set(y[fold != f].tolist())) == 2:
+            raw[held] = Model(_field(own, y, np.flatnonzero(fold != f)), none, prior).raw(*_stacked(own, size, held))
+    seen = ~np.isnan(raw)
+    return Model(_field(own, y, np.arange(len(y))), Platt(raw[seen], y[seen], class_weights(y, counts)[seen]), prior)
+
+
+def _stacked(own: list[np.ndarray], size: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features with those of the neighbouring lines beside them, line sizes and numbers of lines of some texts, end to end."""
+    x = np.empty((sum(len(own[i]) for i in rows), 3 * _N))
+    at = 0
+    for i in rows:
+        o = own[i]
+        part = x[at : at + len(o)]
+        part[:, :_N], part[0, _N : 2 * _N], part[-1, 2 * _N :] = o, 0, 0
+        part[1:, _N : 2 * _N], part[:-1, 2 * _N :] = o[:-1], o[1:]
+        at += len(o)
+    return x, np.concatenate([size[i] for i in rows]), np.array([len(own[i]) for i in rows])
+
+
+def _field(own: list[np.ndarray], y: np.ndarray, rows: np.ndarray) -> Crf:
+    crf, y = Crf(3 * _N), y[rows]
+    x, _, lengths = _stacked(own, own, rows)
+    crf.fit(x, lengths, y, np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())))
+    return crf
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
