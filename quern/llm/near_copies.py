@@ -7,8 +7,9 @@ minimum digests; a pair of similarity s shares no band with probability (1 - s *
 shingle sets, and only confirmed pairs link to components.
 
 Candidates are confirmed in two rounds. The first pairs each node with the smallest of its band;
-what that links is contracted, and the second takes the pairs whose nodes are still apart,
-so a large group of near copies is not paired with itself.
+what that links is contracted. The second takes the bands whose nodes are still apart: nodes that such bands connect
+make a cell, cells are cut into blocks, and every two blocks of a cell meet in one task, where the pairs of a common
+band that are still apart are held against each other. Sets so travel once per block, never once per pair.
 
 Defined cases: words are cut at ASCII white space and compared in ASCII lower case; a text of fewer than five
 words is one shingle; null and blank texts have none and are alike; repeated rows are one;
@@ -23,9 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import simhash
-from quern.llm.batches import arrow_schema, column, mapped, slices
+from quern.llm.batches import arrow_schema, column, mapped, positional, slices
 from quern.llm.components import representatives
 from quern.plans.scratch import release, stored
+from quern.plans.shipping import ship
 
 SHINGLE = 5
 #: Least similarity of a link, as a fraction.
@@ -33,6 +35,8 @@ NUMERATOR, DENOMINATOR = 4, 5
 BANDS, ROWS = 40, 5
 #: Shingles whose digests under all functions are worked out at a time.
 CHUNK = 2048
+#: Nodes of a cell that make a block.
+BLOCK = 256
 
 _RNG = np.random.default_rng(simhash.SEED)
 _ODD = _RNG.integers(0, 2**64, BANDS * ROWS, np.uint64) | np.uint64(1)
@@ -170,30 +174,87 @@ def edges(docs: DataFrame, nodes: DataFrame, text: str, limit: int) -> DataFrame
     reps = stored(representatives(links), "reps").toDF("node", "rep")
     apart = stored(live.join(reps, "node", "left").select("key", "node", "n", F.coalesce("rep", "node").alias("rep")), "apart")
     mixed = apart.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
-    apart = stored(apart.join(mixed, "key", "left_semi"), "apart")
-    pairs = apart.toDF("key", "a", "na", "ra").join(apart.toDF("key", "b", "nb", "rb"), "key").where("a < b AND ra <> rb").where(_near_in_size("na", "nb"))
-    rest = stored(pairs.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "candidates")
-    more = stored(confirmed(rest, sets), "links")
+    more = stored(across(stored(apart.join(mixed, "key", "left_semi"), "apart"), sets), "links")
     release(sets, keyed, live, apart)
     return links.union(more)
 
 
+def across(apart: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """apart: stored (key, node, n, rep). Gives (a, b): links that join all alike nodes of a band with different reps."""
+    heads = apart.groupBy("key").agg(F.min("node").alias("head"))
+    cells = representatives(apart.select("key", "node").join(heads, "key").select(F.col("head").alias("a"), F.col("node").alias("b"))).toDF("node", "cell")
+    banded = apart.groupBy("node").agg(F.first("rep").alias("rep"), F.collect_set("key").alias("keys"))  # BANDS keys at most
+    rows = stored(banded.join(cells, "node").join(sets.select("node", "marks"), "node"), "cells")
+    large = rows.groupBy("cell").count().where(F.col("count") > block).select("cell", F.ceil(F.col("count") / block).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), parts - 1), lambda y: F.struct(F.least(y, F.col("own")).alias("i"), F.greatest(y, F.col("own")).alias("j")))
+    dealt = rows.join(large, "cell", "left").withColumn("own", own).select("cell", "node", "rep", "keys", "marks", F.inline(meets))
+    schema = arrow_schema("a long, b long")
+
+    def meet(t: pa.Table) -> pa.Table:
+        node, rep = t["node"].to_numpy(), t["rep"].to_numpy()
+        keys, marks = t["keys"].combine_chunks(), t["marks"].combine_chunks()
+        pairs = alike_pairs(node, rep, *((c.flatten().to_numpy(), c.value_lengths().to_numpy()) for c in (keys, marks)))
+        return pa.table([pa.array(node[x]) for x in pairs], schema=schema)
+
+    ship(apart.sparkSession)
+    return dealt.groupBy("cell", "i", "j").applyInArrow(meet, "a long, b long")
+
+
+def alike_pairs(node: np.ndarray, rep: np.ndarray, keys: tuple[np.ndarray, np.ndarray], marks: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that link: of a common key, with different reps and alike sets. keys, marks: (values of all rows, how many each row has).
+
+    What a row links to is taken as joined from then on, so the links span, not list, all alike rows.
+    """
+    n, at = len(node), np.repeat(np.arange(len(node)), keys[1])
+    order = np.argsort(keys[0], kind="stable")
+    ends = np.flatnonzero(np.r_[np.diff(keys[0][order]) != 0, True]) + 1 if len(order) else []
+    together = np.zeros((n, n), bool)
+    for lo, hi in zip([0, *ends], ends, strict=False):
+        if hi - lo > 1:
+            together[np.ix_(at[order[lo:hi]], at[order[lo:hi]])] = True
+    group = np.unique(rep, return_inverse=True)[1]
+    size, start = marks[1], np.r_[0, np.cumsum(marks[1])]
+    near = DENOMINATOR * np.minimum.outer(size, size) >= NUMERATOR * np.maximum.outer(size, size)
+    together &= near
+    found: list[tuple[int, int]] = []
+    for i in range(n):
+        others = np.flatnonzero(together[i, :i] & (group[:i] != group[i]))
+        if not len(others):
+            continue
+        mine = marks[0][start[i] : start[i + 1]].view(np.uint64)
+        theirs = np.concatenate([marks[0][start[j] : start[j + 1]] for j in others.tolist()]).view(np.uint64)
+        hit = np.searchsorted(mine, theirs)
+        same = mine[np.minimum(hit, len(mine) - 1)] == theirs if len(mine) else np.zeros(len(theirs), bool)
+        both = np.bincount(np.repeat(np.arange(len(others)), size[others]), same, len(others)).astype(np.int64)
+        ok = DENOMINATOR * both >= NUMERATOR * (size[i] + size[others] - both)
+        for j in others[ok].tolist():
+            if group[j] != group[i]:
+                found.append((i, j))
+                group[group == group[j]] = group[i]
+    a, b = np.array(found, np.int64).reshape(-1, 2).T
+    return a, b
+
+
 def one_of_each(docs: DataFrame, limit: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, of which each component keeps one: smallest id (null last), then smallest text."""
-    at = docs.columns.index(text)
-    spec = docs.select("*", F.lit(0).cast("long").alias("q_node")).schema
+    """The documents, all columns whatever their names, of which each component keeps one: smallest id (null last), then smallest text."""
+    at, id_at = docs.columns.index(text), docs.columns.index(id_col)
+    rows = positional(docs)
+    spec = rows.select("*", F.lit(0).cast("long").alias("node")).schema
     schema = arrow_schema(spec)
 
     def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([node_of(shingles(word_digests(x))) for x in column(b, at)], pa.int64())], schema=schema)
+        for whole in batches:
+            for b in slices(whole, at):
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([node_of(shingles(word_digests(x))) for x in b.column(at).to_pylist()], pa.int64())], schema=schema)
 
-    nodes = stored(nodes_of(docs, id_col, text), "nodes")
-    reps = stored(representatives(edges(docs, nodes, text, limit)), "reps").toDF("node", "rep")
+    nodes = stored(nodes_of(rows, f"c{id_at}", f"c{at}"), "nodes")
+    reps = stored(representatives(edges(rows, nodes, f"c{at}", limit)), "reps").toDF("node", "rep")
     order = F.struct(F.col("first").isNull(), "first", "node")
     whole = nodes.select("node", "first").join(reps, "node", "left").withColumn("rep", F.coalesce("rep", "node"))
-    heads = stored(whole.groupBy("rep").agg(F.min_by("node", order).alias("q_head")).select("q_head"), "heads")
+    heads = stored(whole.groupBy("rep").agg(F.min_by("node", order).alias("node")).select("node"), "heads")
     release(nodes)
-    order = F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text}`"))
-    kept = mapped(docs, run, spec).join(heads, F.col("q_node") == F.col("q_head"), "left_semi")
-    return kept.groupBy("q_node").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), order).alias("row")).select("row.*")
+    order = F.struct(F.col(f"c{id_at}").isNull(), f"c{id_at}", f"c{at}")
+    kept = mapped(rows, run, spec).join(heads, "node", "left_semi")
+    return kept.groupBy("node").agg(F.min_by(F.struct(*rows.columns), order).alias("row")).select("row.*").toDF(*docs.columns)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.batches import arrow_schema, column, mapped
+from quern.llm.batches import arrow_schema, column, mapped, positional, slices
 from quern.llm.components import representatives
 from quern.llm.gray_index import spanning_links
 from quern.plans.scratch import stored
@@ -83,11 +83,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", di
     schema = arrow_schema("doc_id long, code long")
 
     def run(batches):
-        for b in batches:
-            codes = np.array([digest(x) for x in column(b, 1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes)], schema=schema)
+        for whole in batches:
+            for b in slices(whole, 1):
+                codes = np.array([digest(x) for x in column(b, 1)], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes)], schema=schema)
 
-    return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, code long")
+    return mapped(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")), run, "doc_id long, code long")
 
 
 def _blocks(limit: int) -> list[tuple[int, int]]:
@@ -164,22 +165,23 @@ def clustered(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, bucket: int = BUCKET, digest: Callable[[str | None], int] = fingerprint) -> DataFrame:
-    """The documents, all columns, of which each component keeps one: smallest id (null last), then smallest text."""
-    at = docs.columns.index(text)
-    spec = docs.select("*", F.lit(0).cast("long").alias("q_code")).schema
+    """The documents, all columns whatever their names, of which each component keeps one: smallest id (null last), then smallest text."""
+    at, id_at = docs.columns.index(text), docs.columns.index(id_col)
+    rows = positional(docs)
+    spec = rows.select("*", F.lit(0).cast("long").alias("code")).schema
     schema = arrow_schema(spec)
 
     def run(batches):
-        for b in batches:
-            codes = np.array([digest(x) for x in column(b, at)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes)], schema=schema)
-
-    codes = stored(fingerprints(docs, id_col, text, digest).groupBy("code").agg(F.min("doc_id").alias("first")), "codes")
-    heads = stored(labelled(codes, limit, bucket).where("code = head").select(F.col("code").alias("q_head")), "heads")
-    order = F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text}`"))
-    coded = mapped(docs, run, spec)
-    best = coded.groupBy("q_code").agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), order).alias("row"))
-    return best.join(heads, F.col("q_code") == F.col("q_head"), "left_semi").select("row.*")
+        for whole in batches:
+            for b in slices(whole, at):
+                codes = np.array([digest(x) for x in b.column(at).to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes)], schema=schema)
+
+    codes = stored(fingerprints(rows, f"c{id_at}", f"c{at}", digest).groupBy("code").agg(F.min("doc_id").alias("first")), "codes")
+    heads = stored(labelled(codes, limit, bucket).where("code = head").select("code"), "heads")
+    order = F.struct(F.col(f"c{id_at}").isNull(), f"c{id_at}", f"c{at}")
+    best = mapped(rows, run, spec).join(heads, "code", "left_semi").groupBy("code").agg(F.min_by(F.struct(*rows.columns), order).alias("row"))
+    return best.select("row.*").toDF(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import tiktoken
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from quern.llm import byte_bpe, mixing, quality_rules, simhash, substring  # noqa: E402
+from quern.llm import byte_bpe, mixing, quality_rules, substring  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -45,8 +45,8 @@ def test_stages_against_brute_force(spark, docs):
     kept = [r for r in docs if not any(rule(quality_rules.Text(r[1])) for rule in quality_rules.RULES.values())]
     out = corpus_pipeline.rules(spark, df, "")
     assert as_rows(out) == sorted(kept, key=str)
-    # near copies: components of all pairs
-    code = [simhash.word_fingerprint(r[1]) for r in kept]
+    # near copies: components of all pairs whose five-word shingles have a Jaccard of 0.8
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (r[1].lower().split() for r in kept)]
     up = list(range(len(kept)))
 
     def root(i):
@@ -56,7 +56,7 @@ def test_stages_against_brute_force(spark, docs):
 
     for i in range(len(kept)):
         for j in range(i):
-            if (code[i] ^ code[j]).bit_count() <= corpus_pipeline.NEAR_BITS:
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
                 up[root(i)] = root(j)
     groups = {}
     for i, r in enumerate(kept):
@@ -105,14 +105,14 @@ def test_run_equals_its_stages(spark, docs, tmp_path):
 
 
 def test_empty_and_extra_columns(spark):
-    odd = spark.createDataFrame([], SCHEMA + ", code long, row string, g1 int, copies string")
+    odd = spark.createDataFrame([], SCHEMA + ", code long, row string, g1 int, copies string, `a.b` string, q_code int, q_head int, q_row int, copy int")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, odd, "")
         assert out.columns == odd.columns and out.collect() == []
     assert corpus_pipeline.encode(spark, odd, "").collect() == []
     text = " ".join(f"w{i}" for i in range(60))
-    one = spark.createDataFrame([(1, text, "en", "s", 9, 5, "r", 2, "c")], odd.schema)
+    one = spark.createDataFrame([(1, text, "en", "s", 9, 5, "r", 2, "c", "d", 1, 2, 3, 4)], odd.schema)
     for _, stage in corpus_pipeline.STAGES[:3]:
         out = stage(spark, one, "")
         assert [(r["doc_id"], r["text"], r["code"], r["row"], r["g1"], r["copies"]) for r in out.collect()] == [(1, text, 5, "r", 2, "c")]
-    assert {tuple(r) for r in corpus_pipeline.mix(spark, one, "").collect()} <= {(1, text, "en", "s", 9, 5, "r", 2, "c")}
+    assert {tuple(r) for r in corpus_pipeline.mix(spark, one, "").collect()} <= {(1, text, "en", "s", 9, 5, "r", 2, "c", "d", 1, 2, 3, 4)}

@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from quern.llm import mixing, quality_rules, sharding
+from quern.llm import mixing, near_copies, quality_rules, sharding, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, row string, class string, g1 long, shard string"
 
@@ -84,6 +84,92 @@ def test_shards(table):
     assert sharding.sharded(table.limit(0)).collect() == []
 
 
+def naive_shards(groups, shards=8):
+    """Vector bin packing by plain loops. groups: [(g1, g2, bytes, words, rows)], all above 1/4096. Gives rows of each group in each shard."""
+    total = [max(1, sum(g[k] for g in groups)) for k in (2, 3, 4)]
+    units = []
+    for g in sorted(groups):
+        left, cut = g[4], max(g[2] / total[0], g[4] / total[2]) > 1 / shards
+        while left:
+            n = math.ceil(left / (2 * shards)) if cut else left
+            units.append((g[:2], n, [g[k] / g[4] * n * (shards / t) for k, t in zip((2, 3, 4), total)]))
+            left -= n
+    room = [[1.0, 1.02, 1.02] for _ in range(shards)]
+    placed = {}
+    for key, n, v in sorted(units, key=lambda u: -max(u[2])):
+        product = [sum(w * a * b for w, a, b in zip((4, 1, 1), r, v)) for r in room]
+        fits = [k for k in range(shards) if all(a >= b for a, b in zip(room[k], v))] or [k for k in range(shards) if room[k][0] >= v[0]]
+        k = max(fits, key=lambda k: (product[k], -k)) if fits else max(range(shards), key=lambda k: (room[k][0], -k))
+        placed.setdefault(key, [0] * shards)[k] += n
+        room[k] = [a - b for a, b in zip(room[k], v)]
+    return placed
+
+
+def test_shards_equal_naive_packing(spark):
+    rng = random.Random(9)
+    texts = [" ".join("x" * rng.randrange(1, 9) for _ in range(rng.choice([1, 5, 40, 200]))) for _ in range(150)]
+    data = [(i, rng.choice(texts)) for i in range(500)] + [(1000 + i, texts[0]) for i in range(120)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    digests = {r["text"]: (r["g1"], r["g2"]) for r in df.selectExpr("text", "xxhash64(text, 1) AS g1", "xxhash64(text, 2) AS g2").distinct().collect()}
+    many = Counter(t for _, t in data)
+    want = naive_shards([(*digests[t], n * (len(t) + 1), n * len(t.split()), n) for t, n in many.items()])
+    by_id = dict(data)
+    got = {}
+    for r in sharding.sharded(df).collect():
+        got.setdefault(digests[by_id[r["doc_id"]]], [0] * 8)[r["shard"]] += 1
+    assert got == want
+
+
+@pytest.mark.parametrize("ids", [None, 7])
+def test_rows_alike_in_everything_spread_to_within_one_row(spark, ids):
+    text = "fifteen letters"
+    data = [(ids, text)] * 800 + [(i, "x" * (i % 9)) for i in range(100)]
+    got = sharding.sharded(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    size, slots = Counter(), {}
+    for r in got:
+        size[r["shard"]] += r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert len(size) == 8 and max(size.values()) - min(size.values()) <= len(text) + 1
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+ODD = "doc_id long, text string, source string, `a.b` string, row string, copies int, copy int, q_code long, q_head long, q_row string, node long, c0 string, c1 int, code long, at long, start long, m long, shard int, TEXTS string"
+
+
+def test_clashing_names_and_long_texts(spark):
+    long = " ".join(f"word{i}" for i in range(100_000))  # 1 MB
+    rest = ("ab", "r", 1, 2, 3, 4, "q", 5, "c", 6, 7, 8, 9, 10, 11, "t")
+    data = [(1, long, "s", *rest), (2, long + " end", "s", *rest), (3, " ".join(f"v{i}" for i in range(60)), "é", *rest), (4, None, None, *rest)]
+    df = spark.createDataFrame(data, ODD)
+    given = sorted(map(tuple, df.collect()))
+    kept = quality_rules.filtered(df)
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect())) == given[:3]
+    assert sorted(r["n_words"] for r in quality_rules.judged(df).collect()) == [0, 60, 100_000, 100_001]
+    took = mixing.mixed(df)
+    assert took.columns == df.columns and set(map(tuple, took.collect())) <= set(given)
+    assert sum(r["copies"] for r in mixing.copies(df).collect()) == took.count()
+    assert sorted(r["words"] for r in sharding.sharded(df).collect()) == [0, 60, 100_000, 100_001]
+    for one in (simhash.one_of_each(df), near_copies.one_of_each(df, 6)):
+        assert one.columns == df.columns and sorted(map(tuple, one.collect())) == [given[0], *given[2:]]
+
+
+def test_rows_alike_in_everything_mix(spark):
+    data = [(None, "a b c", "s")] * 900 + [(i, "d e", "t") for i in range(50)]
+    got = mixing.copies(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
+    took = Counter()
+    for r in got:
+        took[r["source"]] += r["copies"] * r["size"]
+        target = {r["source"]: r["target"]}
+        assert r["copies"] <= 2
+    assert abs(took["s"] - next(r["target"] for r in got if r["source"] == "s")) <= 3 and target
+
+
+def test_rule_order_ties_and_estimates(spark, table):
+    assert quality_rules.ordered([("b", 0.0, 0.0), ("a", 0.0, 0.0)]) == ["b", "a"]
+    found = quality_rules.estimate(table, quality_rules.RULES)
+    assert [n for n, *_ in found] == list(quality_rules.RULES) and all(0 <= r <= 1 and s >= 0 for _, s, r in found)
+
+
 def test_pack_fills_evenly():
     rng = np.random.default_rng(1)
     v = np.c_[rng.lognormal(3, 1, 3000), rng.lognormal(2, 1, 3000), np.ones(3000)]
