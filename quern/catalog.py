@@ -78,8 +78,12 @@ def tagged(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
-    lang = models.stand_in_language(F.col("txt"))
-    return captions(spark, d).withColumn("q", lang).select("*", "q.label", "q.score").drop("q")
+    return with_language(captions(spark, d))
+
+
+def with_language(df: DataFrame, caption: str = "txt") -> DataFrame:
+    """df with label and score. A generator makes them, so filters on both don't work the language out twice."""
+    return df.select("*", F.inline(F.array(models.stand_in_language(F.col(caption)))))
 
 
 # --- filters -------------------------------------------------------------------------------------
@@ -256,16 +260,16 @@ def _signatures(part: str) -> str:
 
 @query(f"SELECT * FROM ({_signatures('doc_id % 2 = 0')} INTERSECT {_signatures('doc_id % 2 = 1')})")
 def pattern_mining(spark, d):
-    df = tagged(spark, d).withColumn("signature", text.signature(F.col("tags")))
-    return explore.mined_patterns(df.where("doc_id % 2 = 0"), df.where("doc_id % 2 = 1"))
+    df = tagged(spark, d).select("doc_id", text.signature(F.col("tags")).alias("pattern"))
+    return explore.value_sides(df, "pattern", even="doc_id % 2 = 0", odd="doc_id % 2 = 1").where("even AND odd").select("pattern")
 
 
 @query(f"SELECT 'only_even' AS side, count(*) AS n FROM ({_signatures('doc_id % 2 = 0')} EXCEPT {_signatures('doc_id % 2 = 1')}) UNION ALL SELECT 'only_odd', count(*) FROM ({_signatures('doc_id % 2 = 1')} EXCEPT {_signatures('doc_id % 2 = 0')})")
 def pattern_differences(spark, d):
     df = tagged(spark, d).select("doc_id", text.signature(F.col("tags")).alias("pattern"))
-    even, odd = df.where("doc_id % 2 = 0").select("pattern"), df.where("doc_id % 2 = 1").select("pattern")
-    side = lambda a, b, name: a.subtract(b).agg(F.count("*").alias("n")).select(F.lit(name).alias("side"), "n")
-    return side(even, odd, "only_even").union(side(odd, even, "only_odd"))
+    sides = explore.value_sides(df, "pattern", even="doc_id % 2 = 0", odd="doc_id % 2 = 1")
+    counts = sides.agg(F.count_if(F.expr("even AND NOT odd")).alias("only_even"), F.count_if(F.expr("odd AND NOT even")).alias("only_odd"))
+    return counts.select(F.inline(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("n")) for c in counts.columns))))
 
 
 # --- counts, histograms --------------------------------------------------------------------------
@@ -414,7 +418,7 @@ SELECT s0.uid FROM s0 JOIN {_PAIRED} p ON p.vec_id = s0.doc_id WHERE c * 100 > 0
 def pipeline_flagship(spark, d):
     """Text filters and an image filter intersected, then a pair filter over vectors; the pair of vector i is vector i + 1."""
     text_part = FilterStep("text").add("length", lambda df: filters.caption_length(F.col("txt"), 20, 100))
-    text_part.add("language", lambda df: filters.caption_language(F.col("q.label"), F.col("q.score"), threshold=0.5), lambda df: df.withColumn("q", models.stand_in_language(F.col("txt"))))
+    text_part.add("language", lambda df: filters.caption_language(F.col("label"), F.col("score"), threshold=0.5), with_language)
     vision = FilterStep("vision").add("ratio", lambda df: filters.aspect_ratio(F.col("width"), F.col("height")))
     pairs = FilterStep("pairs").add("similar", lambda df: filters.pair_score(F.col("q_score")), lambda df: df.join(_paired(spark, d).select(F.col("vec_id").alias("doc_id"), vectors.logit(F.col("a"), F.col("b")).alias("q_score")), "doc_id"))
     pipeline = FilterPipeline().step("intersection").add(text_part).add(vision).step("union").add(pairs)
@@ -424,7 +428,7 @@ def pipeline_flagship(spark, d):
 @query(f"SELECT uid FROM {_LABELLED} c WHERE {_LONG(200, 1500)} AND label = '__label__en' AND score > 0.5::DOUBLE")
 def text_step_cascade(spark, d):
     step = FilterStep("text").add("length", lambda df: filters.caption_length(F.col("txt"), 200, 1500))
-    step.add("language", lambda df: filters.caption_language(F.col("q.label"), F.col("q.score"), threshold=0.5), lambda df: df.withColumn("q", models.stand_in_language(F.col("txt"))))
+    step.add("language", lambda df: filters.caption_language(F.col("label"), F.col("score"), threshold=0.5), with_language)
     return step.plan(captions(spark, d))
 
 
@@ -447,8 +451,9 @@ def clip_logit_filter(spark, d):
 _LIFTED = """(SELECT vec_id, label, list_transform(v, lambda x: x * f) AS s, sqrt(1 + f * f * n * n) AS t FROM
   (SELECT vec_id, label, v, n, sinh(least(greatest(n, 1e-8::DOUBLE), asinh(32768::DOUBLE))) / greatest(n, 1e-8::DOUBLE) AS f FROM
     (SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings)))"""
-#: A fixed handful of vectors stands for the reference set.
-_REFERENCES = "vec_id < 20"
+#: The mean vector of each label over the whole table stands for the reference set.
+_CENTRES = """(SELECT label, list(m ORDER BY i) AS embedding FROM (SELECT label, i, avg(x::DOUBLE) AS m FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i) GROUP BY label)"""
+_LIFTED_CENTRES = _LIFTED.replace("vec_id, label", "label").replace("FROM embeddings", f"FROM {_CENTRES} e")
 
 
 @query(f"SELECT vec_id, round(t, 6) AS time, round(list_sum(s), 6) AS space_sum FROM {_LIFTED} l")
@@ -461,13 +466,15 @@ def lorentz_expm(spark, d):
 def _sql_specificity() -> str:
     return f"""(SELECT y.vec_id, avg(acos(greatest(least((y.t + x.t * i) / (x.n * sqrt(greatest(i * i - 1, 1e-8::DOUBLE)) + 1e-8::DOUBLE), 1 - 1e-8::DOUBLE), -1 + 1e-8::DOUBLE))
         - asin(greatest(least(0.2::DOUBLE / (x.n + 1e-8::DOUBLE), 1 - 1e-8::DOUBLE), -1 + 1e-8::DOUBLE))) AS score
-      FROM (SELECT y.vec_id AS yi, x.vec_id AS xi, list_dot_product(x.s, y.s) - x.t * y.t AS i FROM {_LIFTED} y, {_LIFTED} x WHERE x.{_REFERENCES}) p
-      JOIN {_LIFTED} y ON y.vec_id = yi JOIN (SELECT *, sqrt(list_dot_product(s, s)) AS n FROM {_LIFTED} z) x ON x.vec_id = xi GROUP BY y.vec_id)"""
+      FROM (SELECT y.vec_id AS yi, x.label AS xi, list_dot_product(x.s, y.s) - x.t * y.t AS i FROM {_LIFTED} y, {_LIFTED_CENTRES} x) p
+      JOIN {_LIFTED} y ON y.vec_id = yi JOIN (SELECT *, sqrt(list_dot_product(s, s)) AS n FROM {_LIFTED_CENTRES} z) x ON x.label = xi GROUP BY y.vec_id)"""
 
 
 def _specificity(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "embeddings")
-    return vectors.specificity(v.select("vec_id", "embedding"), "embedding", v.where(_REFERENCES), "embedding")
+    means = v.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    centres = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias("embedding"))
+    return vectors.specificity(v.select("vec_id", "embedding"), "embedding", centres, "embedding")
 
 
 @query(f"SELECT vec_id, round(score, 6) AS specificity FROM {_sql_specificity()} q")
@@ -475,9 +482,9 @@ def specificity_score(spark, d):
     return _specificity(spark, d).select("vec_id", F.round("specificity", 6).alias("specificity"))
 
 
-@query(f"SELECT vec_id FROM {_sql_specificity()} q WHERE score > 2.39::DOUBLE")
+@query(f"SELECT vec_id FROM {_sql_specificity()} q WHERE score > 0.17::DOUBLE")
 def specificity_filter(spark, d):
-    return _specificity(spark, d).where(filters.specific(F.col("specificity"), 2.39)).select("vec_id")
+    return _specificity(spark, d).where(filters.specific(F.col("specificity"), 0.17)).select("vec_id")
 
 
 # --- tables, plans -------------------------------------------------------------------------------
@@ -498,3 +505,6 @@ def missing_columns(spark, d):
     df = table(spark, d, "documents").select("doc_id", F.col("text").alias("caption"))
     return explore.with_missing(df, ["NUM", "ADJ", "caption"]).fillna(0, ["ADJ"])
 
+
+# Registers the queries for sources, sinks, adapters and settings beside these.
+from quern import catalog_files  # noqa: E402, F401

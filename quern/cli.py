@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
+import time
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quern.operators import metrics
-from quern.operators.models import stand_in_language, stand_in_tags
+from quern.operators.models import pair_column, stand_in_language, stand_in_tags
 from quern.plans import config as settings
 from quern.plans.pipeline import FilterPipeline
-from quern.plans.steps import text_step, vision_step
+from quern.plans.scratch import release, stored
+from quern.plans.steps import pair_step, text_step, vision_step
 from quern.sinks import files, uids
 from quern.sources.images import size_column
 from quern.sources.shards import read_shards
@@ -26,30 +31,71 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--output-folder", default="output")
     p.add_argument("--config-path", default=None)
     p.add_argument("--patterns-path", default=None, help="part-of-speech patterns, one a line; without it that filter is left out")
+    p.add_argument("--pair-model", default=None, help="module:function that makes an image-text scorer (images, captions) -> scores; without it the multimodal step is left out")
     return p.parse_args(given)
 
 
+def pair_model_of(name: str) -> Callable[[Column, Column], Column]:
+    """The column function of a scorer given as module:function; the module is imported where the scorer is made."""
+    module, _, attribute = name.partition(":")
+
+    def make():
+        return getattr(importlib.import_module(module), attribute)()
+
+    return lambda image, caption: pair_column(image, caption, name, make)
+
+
 def samples_of(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """uid, txt, width and height of all samples; image bytes are dropped right after their header is read."""
+    """uid, txt, width and height of all samples, stored once; image bytes are dropped right after their header is read."""
     df = read_shards(spark, paths)
-    return df.withColumn("size", size_column(df["jpg"])).select("key", "shard", "uid", "txt", "size.width", "size.height")
+    return stored(df.withColumn("size", size_column(df["jpg"])).select("key", "shard", "uid", "txt", "size.width", "size.height"), "samples")
+
+
+def with_images(spark: SparkSession, paths: list[str], score: Callable[[Column, Column], Column]) -> Callable[[DataFrame], DataFrame]:
+    """What adds a pair score to samples: their images are read again, of these samples only."""
+
+    def derive(samples: DataFrame) -> DataFrame:
+        pairs = read_shards(spark, paths, uids=samples.select("uid")).select("uid", score(F.col("jpg"), F.col("txt")).alias("q_score"))
+        return samples.join(pairs.groupBy("uid").agg(F.max("q_score").alias("q_score")), "uid", "left")
+
+    return derive
 
 
-def run(spark: SparkSession, shards: list[str], config: settings.Config, log_folder: str, output_folder: str, patterns: str | None = None) -> DataFrame:
-    """Text and vision filters over the shards, their survivors intersected; files are written as the settings say.
+def run(
+    spark: SparkSession,
+    shards: list[str],
+    config: settings.Config,
+    log_folder: str,
+    output_folder: str,
+    patterns: str | None = None,
+    language: Callable[[Column], Column] = stand_in_language,
+    tags: Callable[[Column], Column] = stand_in_tags,
+    pair: Callable[[DataFrame], Column] | None = None,
+    pair_model: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
+    """Text and vision filters over the shards, their survivors intersected, then image-text pairs; files are written as the settings say.
 
-    Language and tags come from the offline stand-ins; pass real models to text_step() for other results.
+    Language and tags come from the offline stand-ins unless models are given. The pair step needs a score: ``pair`` makes it from a
+    sample's columns, ``pair_model`` from (image, caption), whose images are read for the survivors of the first step only.
     """
     samples = samples_of(spark, shards)
-    steps = [text_step(config, stand_in_language, stand_in_tags, read_lines(spark, patterns) if patterns else None), vision_step(config)]
-    pipeline = FilterPipeline().step("intersection")
-    for s in steps:
-        pipeline.add(s)
+    steps = [[text_step(config, language, tags, read_lines(spark, patterns) if patterns else None), vision_step(config)]]
+    if pair is not None or pair_model is not None:
+        steps.append([pair_step(config, pair, with_images(spark, shards, pair_model) if pair_model else None)])
+    pipeline = FilterPipeline()
+    for blocks in steps:
+        pipeline.step("intersection")
+        for s in blocks:
+            pipeline.add(s)
     logging.info("%s", pipeline.pretty())
     if config.infrastructure.enable_metrics:
-        for s in steps:
-            found = s.measured(samples, "shard")
-            files.save_metrics(found, metrics.summary(found), log_folder, s.name, apply_filters=str(config.infrastructure.apply_filters))
+        for s in (s for blocks in steps for s in blocks):
+            began = time.perf_counter()
+            found = stored(s.measured(samples, "shard"), "metrics")
+            share = (time.perf_counter() - began) / max(1, len(s.filters))
+            for path in files.save_metrics(found, metrics.summary(found), log_folder, s.name, apply_filters=str(config.infrastructure.apply_filters), elapsed=dict.fromkeys(s.filters, share)):
+                logging.info("wrote %s", path)
+            release(found)
     survivors = pipeline.survivors(samples)
     if config.infrastructure.save_npy:
         uids.save_uids(survivors, output_folder)
@@ -63,7 +109,8 @@ def main(given: list[str] | None = None) -> None:
     logging.getLogger("py4j").setLevel(logging.WARNING)
     builder = SparkSession.builder.appName("quern")
     spark = (builder.master(args.master) if args.master else builder).getOrCreate()
-    run(spark, args.shards_path, config, args.log_folder, args.output_folder, args.patterns_path)
+    model = pair_model_of(args.pair_model) if args.pair_model else None
+    run(spark, args.shards_path, config, args.log_folder, args.output_folder, args.patterns_path, pair_model=model)
 
 
 if __name__ == "__main__":

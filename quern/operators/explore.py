@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,13 +69,21 @@ def histogram(df: DataFrame, column: str, bins: int, percent: bool = False) -> D
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, count, mean, std, min, p25, p50, p75, max); quartiles exact, interpolated."""
-    parts = []
+    """(column, count, mean, std, min, p25, p50, p75, max); quartiles exact, interpolated between the values at their ranks.
+
+    Values are numbered by a range sort, and the driver gets the at most six that the quartiles of a column stand on.
+    """
+    kind = "column string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    rows = []
     for c in columns:
-        x = F.col(c).cast("double")
-        p = F.percentile(x, [0.25, 0.5, 0.75])
-        parts.append(df.agg(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), p[0].alias("p25"), p[1].alias("p50"), p[2].alias("p75"), F.max(x).alias("max")))
-    return reduce(DataFrame.unionAll, parts)
+        x = F.col(f"`{c}`").cast("double").alias("x")
+        one = df.select(x).agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")).first()
+        at = [(one["count"] - 1) * p for p in (0.25, 0.5, 0.75)] if one["count"] else []
+        wanted = sorted({f(p) for p in at for f in (math.floor, math.ceil)})
+        value = {r["at"]: r["x"] for r in with_index(df.select(x).where("x IS NOT NULL"), "x", name="at").where(F.col("at").isin(wanted)).collect()} if at else {}
+        between = [value[math.floor(p)] + (value[math.ceil(p)] - value[math.floor(p)]) * (p - math.floor(p)) for p in at] or [None] * 3
+        rows.append((c, one["count"], one["mean"], one["std"], one["min"], *between, one["max"]))
+    return df.sparkSession.createDataFrame(rows, kind)
 
 
 def info(df: DataFrame) -> DataFrame:
@@ -108,9 +117,12 @@ def with_index(df: DataFrame, *order: str, name: str = "index") -> DataFrame:
 
 
 def numbered_batches(df: DataFrame, size: int, worker: str, *order: str) -> DataFrame:
-    """df with batch_id: rows of each worker in order, ``size`` a batch, from 1."""
-    w = Window.partitionBy(worker).orderBy(*order)
-    return df.withColumn("batch_id", F.floor((F.row_number().over(w) - 1) / size).cast("int") + 1)
+    """df with batch_id: rows of each worker in order, ``size`` a batch, from 1. A worker's rows may fill many tasks."""
+    numbered = with_index(df, worker, *order, name="q_place")
+    starts = numbered.groupBy(F.col(worker).alias("q_worker")).agg(F.min("q_place").alias("q_first"))  # a row a worker
+    same = F.col(worker).eqNullSafe(F.col("q_worker"))
+    batch = F.floor((F.col("q_place") - F.col("q_first")) / size).cast("int") + 1
+    return numbered.join(starts, same).withColumn("batch_id", batch).drop("q_place", "q_worker", "q_first")
 
 
 def round_robin(index: Column, n: int) -> Column:
@@ -144,6 +156,11 @@ def mined_patterns(*frames: DataFrame, column: str = "signature") -> DataFrame:
     return merged([f.select(F.col(column).alias("pattern")).distinct() for f in frames])
 
 
+def value_sides(df: DataFrame, column: str, **sides: str) -> DataFrame:
+    """(column, a boolean a side): on which sides, given as conditions, each distinct value occurs. One pass serves all set operations."""
+    return df.groupBy(column).agg(*(F.bool_or(F.coalesce(F.expr(c), F.lit(False))).alias(n) for n, c in sides.items()))
+
+
 def random_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
     """n rows by a seeded draw."""
     return df.orderBy(F.rand(seed)).limit(n)

@@ -6,7 +6,9 @@ score, universal tags, pair scores) so that real models can take their place.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -38,7 +40,7 @@ def loaded(key: str, make: Callable[[], object]) -> object:
 
 
 def language_column(caption: Column, key: str, make: Callable[[], LanguageScorer]) -> Column:
-    """struct(label, score) of a language model; null captions stay null."""
+    """struct(label, score) of a language model; null captions stay null. Marked non-deterministic, as tags_column() is."""
 
     @F.pandas_udf("label string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -51,7 +53,7 @@ def language_column(caption: Column, key: str, make: Callable[[], LanguageScorer
             out.loc[good.to_numpy(), "score"] = [float(x) for _, x in found]
             yield out
 
-    return run(text.one_line(caption))
+    return run.asNondeterministic()(text.one_line(caption))
 
 
 def tags_column(caption: Column, key: str, make: Callable[[], PosTagger]) -> Column:
@@ -134,7 +136,7 @@ TAG_RULES = (
 
 
 def stand_in_language(caption: Column) -> Column:
-    """struct(label, score): the language whose frequent words occur most, and its share of all such hits; ties by code."""
+    """struct(label, score): the language whose frequent words occur most, and its share of all such hits; ties by code; nulls for a null caption."""
     codes = F.array(*(F.lit(f"__label__{k}") for k in STOP_WORDS))
     lists = F.array(*(F.array(*map(F.lit, v)) for v in STOP_WORDS.values()))
 
@@ -150,19 +152,38 @@ def stand_in_language(caption: Column) -> Column:
     def counted(ws: Column) -> Column:
         return F.transform(lists, lambda known: F.size(F.filter(ws, lambda w: F.array_contains(known, w))))
 
-    # null captions give a struct of nulls
-    out = bound(text.words(F.lower(caption)), lambda ws: bound(counted(ws), judged))
-    keep = caption.isNotNull()
-    return F.struct(F.when(keep, out["label"]).alias("label"), F.when(keep, out["score"]).alias("score"))
+    nulls = F.struct(F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("score"))
+    return F.coalesce(F.when(caption.isNotNull(), bound(text.words(F.lower(caption)), lambda ws: bound(counted(ws), judged))), nulls)
+
+
+def _word_lists() -> dict[str, str]:
+    """Word to tag, from those rules that are plain lists of words."""
+    return {w: name for name, rule in TAG_RULES if (m := re.fullmatch(r"\^\(\?i:([a-z|]+)\)\[\.,\]\?\$", rule)) for w in m[1].split("|")}
+
+
+def _endings() -> list[tuple[str, list[str]]]:
+    """(tag, endings), from those rules that are lists of endings."""
+    return [(name, m[1].split("|")) for name, rule in TAG_RULES if (m := re.fullmatch(r"\(?([a-z|]+)\)?\[\.,\]\?\$", rule))]
 
 
 def stand_in_tags(caption: Column) -> Column:
-    """array of tags, one a word."""
+    """array of tags, one a word, as TAG_RULES say.
+
+    Words with a letter skip the rules for marks and numbers; lists of words are one map lookup, endings plain comparisons.
+    """
+    rules = dict(TAG_RULES)
+    lists = F.create_map(*(F.lit(x) for pair in _word_lists().items() for x in pair))
+
+    def lettered(w: Column) -> Column:
+        bare = F.when(w.endswith(".") | w.endswith(","), F.substring(w, 1, F.length(w) - 1)).otherwise(w)
+        by_end = None
+        for name, ends in _endings():
+            hit = reduce(Column.__or__, (bare.endswith(e) for e in ends))
+            by_end = F.when(hit, name) if by_end is None else by_end.when(hit, name)
+        return F.coalesce(F.try_element_at(lists, F.lower(bare)), by_end.when(w.rlike(rules["PROPN"]), "PROPN").otherwise("NOUN"))
 
     def tag(w: Column) -> Column:
-        out = F.when(w.rlike(TAG_RULES[0][1]), TAG_RULES[0][0])
-        for name, rule in TAG_RULES[1:-1]:
-            out = out.when(w.rlike(rule), name)
-        return out.otherwise(TAG_RULES[-1][0])
+        bare = F.when(w.rlike(rules["PUNCT"]), "PUNCT").when(w.rlike(rules["NUM"]), "NUM").otherwise("NOUN")
+        return F.when(w.rlike(r"[A-Za-z\x{80}-\x{10ffff}]"), lettered(w)).otherwise(bare)
 
     return F.transform(text.words(caption), tag)

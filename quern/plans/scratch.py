@@ -11,11 +11,16 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_TABLES: list[str] = []
+_SWEPT = 0.0
+#: Seconds between two sweeps of finished plans.
+SWEEP = 5.0
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,27 +55,36 @@ def bucketed(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     path = f"{shared_dir(spark)}/{unique}"
     df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).format("parquet").option("path", path).saveAsTable(unique)
     _swept(spark)
+    _TABLES.append(unique)
     out = spark.table(unique)
-    out._quern_path = path
+    out._quern_path, out._quern_table = path, unique
     return out
 
 
 def _swept(spark: SparkSession) -> None:
-    """Let the driver drop plans that are done, so that executors delete their shuffle files now, not at some later collection."""
-    spark.sparkContext._jvm.System.gc()
+    """Let the driver drop plans that are done, so that executors delete their shuffle files soon, not at some later collection; every SWEEP seconds at most."""
+    global _SWEPT
+    if time.monotonic() - _SWEPT > SWEEP:
+        _SWEPT = time.monotonic()
+        spark.sparkContext._jvm.System.gc()
 
 
 def release(*tables: DataFrame) -> None:
     """Delete tables made by stored(). Nothing may still be going to read them."""
     for t in tables:
         spark, path = t.sparkSession, t._quern_path
+        if name := getattr(t, "_quern_table", None):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            _TABLES.remove(name)
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def release_all(spark: SparkSession) -> None:
-    """Delete every intermediate table of this application."""
+    """Delete every intermediate table of this application; call it once results are written."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -84,10 +84,10 @@ def vision_step(config: Config, width: str = "width", height: str = "height") ->
     return FilterStep("vision", mode=config.infrastructure.apply_filters).add("aspect_ratio", lambda df: filters.aspect_ratio(F.col(width), F.col(height), u.image_min_aspect_ratio, u.image_max_aspect_ratio))
 
 
-def pair_step(config: Config, score: Callable[[DataFrame], Column]) -> FilterStep:
-    """Image and caption agree. score: samples to a score column."""
+def pair_step(config: Config, score: Callable[[DataFrame], Column] | None = None, derive: Callable[[DataFrame], DataFrame] | None = None) -> FilterStep:
+    """Image and caption agree. score: samples to a score column; or derive: samples to samples with a column q_score."""
     t = config.multimodal.clip_score_threshold
-    return FilterStep("multimodal", mode=config.infrastructure.apply_filters).add("clip_score", lambda df: filters.pair_score(F.col("q_score"), t), lambda df: df.withColumn("q_score", score(df)))
+    return FilterStep("multimodal", mode=config.infrastructure.apply_filters).add("clip_score", lambda df: filters.pair_score(F.col("q_score"), t), derive or (lambda df: df.withColumn("q_score", score(df))))
 
 
 def parameters(values: Mapping[str, object]) -> str:

@@ -14,22 +14,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def save_metrics(batches: DataFrame, summary: DataFrame, folder: str, worker: str = "0", parameters: dict[str, dict] | None = None, apply_filters: str = "True") -> tuple[str, str]:
-    """Write metrics_summary_<worker>_<time>.json and metrics_details_<worker>_<time>.json; both have a row a filter and batch at most."""
+def save_metrics(batches: DataFrame, summary: DataFrame, folder: str, worker: str = "0", parameters: dict[str, dict] | None = None, apply_filters: str = "True", elapsed: dict[str, float] | None = None) -> tuple[str, str]:
+    """Write metrics_summary_<worker>_<time>.json and metrics_details_<worker>_<time>.json.
+
+    The summary has a row a filter. Details are written as they come, one row a filter and batch, and never held together.
+    elapsed: seconds that a filter's job took; all its batches were measured by that one job.
+    """
     os.makedirs(folder, exist_ok=True)
     stamp = datetime.now().strftime("%Y%m%d_%H%M%S")
-    more = lambda name: {"parameters": str((parameters or {}).get(name, {})), "apply_filters": apply_filters}
-    total = {r["filter"]: {**{k: v for k, v in r.asDict().items() if k != "filter"}, **more(r["filter"])} for r in summary.collect()}
-    details: dict[str, list] = {}
-    for r in batches.orderBy("filter", "batch_id").toLocalIterator():
-        details.setdefault(r["filter"], []).append({**{k: v for k, v in r.asDict().items() if k != "filter"}, **more(r["filter"]), "timestamp": datetime.now().isoformat()})
-    out = []
-    for kind, found in (("summary", total), ("details", details)):
-        path = os.path.join(folder, f"metrics_{kind}_{worker.replace(':', '_')}_{stamp}.json")
-        with open(path, "w", encoding="utf-8") as f:
-            json.dump({"worker_id": worker, "filter_metrics": found}, f, indent=2)
-        out.append(path)
-    return out[0], out[1]
+    seconds = elapsed or {}
+
+    def row(r, **times) -> dict:
+        name = r["filter"]
+        fixed = {"parameters": str((parameters or {}).get(name, {})), "apply_filters": apply_filters}
+        return {**{k: v for k, v in r.asDict().items() if k != "filter"}, **(times if name in seconds else {}), **fixed}
+
+    at = [os.path.join(folder, f"metrics_{kind}_{worker.replace(':', '_')}_{stamp}.json") for kind in ("summary", "details")]
+    with open(at[0], "w", encoding="utf-8") as f:
+        spread = lambda s: {"avg_elapsed_time_seconds": s, "stddev_elapsed_time_seconds": 0.0, "min_elapsed_time_seconds": s, "max_elapsed_time_seconds": s}
+        total = {r["filter"]: row(r, **spread(round(seconds.get(r["filter"], 0.0) / max(1, r["batches_processed"]), 5))) for r in summary.collect()}
+        json.dump({"worker_id": worker, "filter_metrics": total}, f, indent=2)
+    with open(at[1], "w", encoding="utf-8") as f:
+        f.write(f'{{"worker_id": {json.dumps(worker)}, "filter_metrics": {{')
+        last = None
+        for r in batches.orderBy("filter", "batch_id").toLocalIterator():
+            name = r["filter"]
+            f.write(", " if name == last else f'{"" if last is None else "], "}{json.dumps(name)}: [')
+            json.dump({**row(r, elapsed_time=round(seconds.get(name, 0.0), 5)), "timestamp": datetime.now().isoformat()}, f)
+            last = name
+        f.write("]}}" if last is not None else "}}")
+    return at[0], at[1]
+
+
+def save_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+    """The rows as Parquet files, in a folder a value of ``partition_by`` if given."""
+    writer = df.write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def save_patterns(patterns: DataFrame, path: str, column: str = "pattern") -> None:
@@ -42,41 +62,62 @@ def save_field(df: DataFrame, column: str, path: str) -> None:
     df.select(F.regexp_replace(F.coalesce(F.col(column).cast("string"), F.lit("")), r"[\r\n]+", " ").alias("value")).write.mode("overwrite").text(path)
 
 
+def add_sample(tar: tarfile.TarFile, r: dict) -> None:
+    """The members of one sample (key, meta, txt, jpg)."""
+    for ending, data in (("jpg", r.get("jpg")), ("json", r.get("meta")), ("txt", r.get("txt"))):
+        if data is not None:
+            raw = data.encode() if isinstance(data, str) else bytes(data)
+            member = tarfile.TarInfo(f"{r['key']}.{ending}")
+            member.size = len(raw)
+            tar.addfile(member, io.BytesIO(raw))
+
+
 def tar_bytes(rows: Iterator[dict]) -> bytes:
     """A tar file of samples (key, meta, txt, jpg)."""
     body = io.BytesIO()
     with tarfile.open(fileobj=body, mode="w") as tar:
         for r in rows:
-            for ending, data in (("jpg", r.get("jpg")), ("json", r.get("meta")), ("txt", r.get("txt"))):
-                if data is not None:
-                    raw = data.encode() if isinstance(data, str) else bytes(data)
-                    member = tarfile.TarInfo(f"{r['key']}.{ending}")
-                    member.size = len(raw)
-                    tar.addfile(member, io.BytesIO(raw))
+            add_sample(tar, r)
     return body.getvalue()
 
 
 def write_shards(samples: DataFrame, folder: str, per_shard: int = 10_000) -> DataFrame:
     """Samples in (shard, key) order as new tar files of ``per_shard`` samples; gives (shard, samples).
 
-    ``folder`` must be shared by the executors: each shard is written by the task that has it, under a name of its own
-    first, so that a repeated attempt replaces it whole.
+    ``folder`` must be shared by the executors: each shard is written by the task that has it, a batch of samples in memory
+    at a time, under a name of its own first, so that a repeated attempt replaces it whole.
     """
     from quern.operators.explore import with_index
+    from quern.plans.shipping import ship
 
+    ship(samples.sparkSession)
     numbered = with_index(samples, "shard", "key", name="q_index").withColumn("q_shard", F.floor(F.col("q_index") / per_shard))
     os.makedirs(folder, exist_ok=True)
-
-    def write(key: tuple, table: pa.Table) -> pa.Table:
-        name = f"{key[0].as_py():08d}.tar"
-        rows = sorted(table.to_pylist(), key=lambda r: r["q_index"])
-        at = os.path.join(folder, f".{name}.{os.getpid()}")
-        with open(at, "wb") as f:
-            f.write(tar_bytes(iter(rows)))
-        os.replace(at, os.path.join(folder, name))
-        return pa.table({"shard": [name], "samples": pa.array([len(rows)], pa.int64())})
-
-    return numbered.groupBy("q_shard").applyInArrow(write, "shard string, samples long")
+    columns = [c for c in ("key", "meta", "txt", "jpg") if c in samples.columns]
+
+    def write(batches):
+        now = None  # (number, temporary path, tar, samples)
+
+        def closed() -> pa.RecordBatch:
+            number, at, tar, n = now
+            tar.close()
+            os.replace(at, os.path.join(folder, f"{number:08d}.tar"))
+            return pa.RecordBatch.from_arrays([pa.array([f"{number:08d}.tar"]), pa.array([n], pa.int64())], names=["shard", "samples"])
+
+        for b in batches:
+            for r in (row for i in range(0, b.num_rows, 64) for row in b.slice(i, 64).to_pylist()):
+                if now is None or now[0] != r["q_shard"]:
+                    if now is not None:
+                        yield closed()
+                    at = os.path.join(folder, f".{r['q_shard']:08d}.{os.getpid()}")
+                    now = (r["q_shard"], at, tarfile.open(at, "w"), 0)
+                add_sample(now[2], r)
+                now = (*now[:3], now[3] + 1)
+        if now is not None:
+            yield closed()
+
+    dealt = numbered.select("q_shard", "q_index", *columns).repartition("q_shard").sortWithinPartitions("q_shard", "q_index")
+    return dealt.mapInArrow(write, "shard string, samples long")
 
 
 def first_samples(samples: DataFrame, n: int) -> DataFrame:

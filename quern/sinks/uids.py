@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import is_uid
@@ -54,3 +55,15 @@ def save_uids(uids: DataFrame, folder: str, column: str = "uid", name: str = "ok
 def read_uids(path: str) -> list[str]:
     """The uids of a saved array, as 32 digits each."""
     return [f"{int(a):016x}{int(b):016x}" for a, b in np.load(path)]
+
+
+def uid_table(spark: SparkSession, path: str) -> DataFrame:
+    """(place, uid) of a saved array; the driver maps the file and hands on slices of it."""
+    pairs = np.load(path, mmap_mode="r")
+    step = 1 << 20
+    parts = []
+    for lo in range(0, max(1, len(pairs)), step):
+        some = pairs[lo : lo + step]
+        digits = [f"{int(a):016x}{int(b):016x}" for a, b in some]
+        parts.append(spark.createDataFrame(pa.table({"place": pa.array(range(lo, lo + len(some)), pa.int64()), "uid": pa.array(digits, pa.string())})))
+    return reduce(DataFrame.union, parts)

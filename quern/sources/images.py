@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,3 +79,30 @@ def size_column(image: Column) -> Column:
         return pd.DataFrame({"width": pd.array([f and f[0] for f in found], "Int32"), "height": pd.array([f and f[1] for f in found], "Int32")})
 
     return run(image)
+
+
+def checked_column(place: Column, fetch: Callable[[str], bytes], test: Callable[[int, int], bool]) -> Column:
+    """Whether the image at a URL or path passes a test of its width and height; any error is false.
+
+    fetch: a URL or path to bytes; given by the caller, nothing here opens a connection.
+    """
+    from quern.plans.shipping import ship
+
+    ship(SparkSession.active())
+
+    def passes(x: str | None) -> bool:
+        try:
+            return bool(test(*size_of(fetch(x))))
+        except Exception:  # whatever is wrong with one image, it is not a good one
+            return False
+
+    @F.pandas_udf("boolean")
+    def run(places: pd.Series) -> pd.Series:
+        return pd.Series([passes(x) for x in places], dtype="boolean")
+
+    return run(place)
+
+
+def read_file(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()

@@ -72,10 +72,11 @@ def samples(members: Iterable[tuple[str, bytes]], kinds: frozenset[str], uids: f
         yield r
 
 
-def members(path: str, kinds: frozenset[str]) -> Iterator[tuple[str, bytes]]:
+def members(path: str, kinds: frozenset[str], keys: frozenset[str] | None = None) -> Iterator[tuple[str, bytes]]:
+    """(name, bytes) of the members, of the given keys only; bytes are read for wanted kinds."""
     with tarfile.open(path, mode="r|*") as tar:
         for m in tar:
-            if m.isfile():
+            if m.isfile() and (keys is None or m.name.rpartition("/")[2].partition(".")[0] in keys):
                 ending = m.name.rpartition("/")[2].partition(".")[2].lower()
                 wanted = ending == "json" or ("jpg" if ending in _IMAGES else ending) in kinds
                 yield m.name, tar.extractfile(m).read() if wanted else b""
@@ -124,7 +125,7 @@ class ShardSource(DataSource):
 
 
 def read_shards(spark: SparkSession, paths: str | list[str], columns: Iterable[str] = KINDS, uids: list[str] | DataFrame | None = None) -> DataFrame:
-    """Samples of tar shards. uids: only these; a short list goes into the scan, a frame becomes a semi join below all decoding."""
+    """Samples of tar shards. uids: only these; a short list goes into the scan, of a frame only the keys are joined before captions and images are read."""
     from quern.plans.shipping import ship
 
     ship(spark)
@@ -132,10 +133,39 @@ def read_shards(spark: SparkSession, paths: str | list[str], columns: Iterable[s
     spark.dataSource.register(ShardSource)
     df = spark.read.format("shards").option("paths", json.dumps(listed(paths))).option("columns", ",".join(columns)).load()
     if isinstance(uids, DataFrame):
-        return df.join(uids.select("uid"), "uid", "left_semi").select(df.columns)
+        return _only(spark, df, listed(paths), frozenset(columns), uids)
     return df if uids is None else df.where(F.col("uid").isin(uids))
 
 
+def _only(spark: SparkSession, samples_: DataFrame, paths: list[str], kinds: frozenset[str], uids: DataFrame) -> DataFrame:
+    """The samples of a frame of uids. A first pass reads the JSON members only; the second keeps, of each shard, the members of wanted keys.
+
+    A row a shard carries its wanted keys, so the join moves keys, never captions or images.
+    """
+    import pyarrow as pa
+
+    columns = samples_.columns
+    light = spark.read.format("shards").option("paths", json.dumps(paths)).option("columns", "json").load().select("uid", "key", "shard")
+    wanted = light.join(uids.select("uid").distinct(), "uid", "left_semi").groupBy("shard").agg(F.collect_list("key").alias("keys"))
+    files = spark.createDataFrame([(p, p.rpartition("/")[2]) for p in paths], "path string, shard string")
+    schema = pa.schema([(c, pa.binary() if c == "jpg" else pa.string()) for c in columns])
+
+    def run(batches):
+        for b in batches:
+            for path, keys in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                keep, rows = frozenset(keys), []
+                for r in samples(members(path, kinds, keep), kinds, None, path.rpartition("/")[2]):
+                    rows.append(r)
+                    if len(rows) == 256:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        rows = []
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    chosen = files.join(wanted, "shard").select("path", "keys").repartition("path")
+    return chosen.mapInArrow(run, SCHEMA).join(uids.select("uid").distinct(), "uid", "left_semi").select(columns)
+
+
 def read_binary_shards(spark: SparkSession, path: str, columns: Iterable[str] = KINDS) -> DataFrame:
     """The same rows through Spark's own file reader, for stores that only Spark reaches (a shard must fit into a row, 2 GB)."""
     return from_binary(spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(path), columns)
@@ -170,6 +200,28 @@ def from_binary(files: DataFrame, columns: Iterable[str] = KINDS) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, SCHEMA)
 
 
+def listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(shard, member, size) of every file in the tars; bodies are passed over, not kept."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                with tarfile.open(path, mode="r|*") as tar:
+                    rows = [(path.rpartition("/")[2], m.name, m.size) for m in tar if m.isfile()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["shard", "member", "size"])
+
+    found = listed(paths)
+    files = spark.createDataFrame([(p,) for p in found], "path string").repartition(min(len(found), 10_000))
+    return files.mapInArrow(run, "shard string, member string, size long")
+
+
+def member(path: str, name: str) -> bytes | None:
+    """One file out of a tar; None if it is not there."""
+    with tarfile.open(path) as tar:
+        return next((tar.extractfile(m).read() for m in tar if m.isfile() and m.name == name), None)
+
+
 def shard_sizes(spark: SparkSession, path: str) -> DataFrame:
     """(shard, mb, samples) of every tar file in a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(path)
