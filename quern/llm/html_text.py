@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.batches import arrow_schema, column, mapped, slices
 from quern.llm.html_blocks import LOOSE, MAIN, OUT, TITLE, WEAK, blocks
-from quern.plans.scratch import release, stored
+from quern.plans.scratch import stored
 
 PARSED = "page_id long, url string, k1 long, k2 long, host string, path string, body long, marked boolean, places array<int>, texts array<string>, lines array<long>"
 _BESIDE = "struct<k1: long, k2: long, host: string, path: string>"
@@ -292,17 +292,17 @@ def witnesses(near: DataFrame) -> DataFrame:
 
 
 def shared_lines(pages: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pages: stored (k1, k2, marked, places, sizes, lines). (k1, k2, seen): what each witness that counts shares with a page, where any does."""
+    """pages: stored (k1, k2, marked, shape, lines). (k1, k2, seen): what each witness that counts shares with a page, where any does."""
     schema = arrow_schema(SHARED)
-    other = pages.toDF("p1", "p2", *(f"o_{c}" for c in pages.columns[2:]))
-    columns = pages.columns[2:]
-    both = pairs.join(other, ["p1", "p2"]).join(pages, ["k1", "k2"]).select("k1", "k2", *columns, *(f"o_{c}" for c in columns))
+    other = pages.toDF("p1", "p2", "o_marked", "o_shape", "o_lines")
+    both = pairs.join(other, ["p1", "p2"]).join(pages, ["k1", "k2"]).select("k1", "k2", *pages.columns[2:], "o_marked", "o_shape", "o_lines")
 
     def run(batches):
         for b in batches:
             rows = []
-            for k1, k2, marked, places, sizes, lines, o_marked, o_places, o_sizes, o_lines in zip(*(column(b, i) for i in range(10)), strict=True):
+            for k1, k2, marked, shape, lines, o_marked, o_shape, o_lines in zip(*(column(b, i) for i in range(8)), strict=True):
                 shared = common_lines(lines, o_lines)
+                (places, sizes), (o_places, o_sizes) = unpacked(shape), unpacked(o_shape)
                 void = tells_nothing(marked, sizes, [o_sizes[i] for i in content_of(o_marked, o_places)], content_of(marked, places), shared)
                 rows.append((k1, k2, void, shared))
             cols = list(zip(*rows, strict=True)) or [[]] * 4
@@ -312,24 +312,51 @@ def shared_lines(pages: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.where(F.exists("seen", lambda x: F.size(x) > 0))
 
 
+def decided(pages: DataFrame, seen: DataFrame) -> DataFrame:
+    """(k1, k2, stay): positions of the main text's lines, of those pages where differencing changes what structure leaves."""
+    spec = "k1 long, k2 long, stay array<int>"
+    schema = arrow_schema(spec)
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for k1, k2, marked, shape, found in zip(*(column(b, i) for i in range(5)), strict=True):
+                places, sizes = unpacked(shape)
+                stay = staying(marked, places, sizes, found)
+                if stay != staying(marked, places, sizes, []):
+                    rows.append((k1, k2, stay))
+            cols = list(zip(*rows, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+    return mapped(seen.join(pages, ["k1", "k2"]).select("k1", "k2", "marked", "shape", "seen"), run, spec)
+
+
+def unpacked(shape: list[int]) -> tuple[list[int], list[int]]:
+    """(places, sizes) of lines whose size and place are one number."""
+    return [x & 7 for x in shape], [x >> 3 for x in shape]
+
+
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     every = stored(parsed(pages, id_col, url_col, html_col), "parsed")
-    few = stored(every.select("k1", "k2", "host", "path", "body", "marked", "places", F.transform("texts", F.length).alias("sizes"), "lines").dropDuplicates(["k1", "k2"]), "lines")
+    shape = F.zip_with("texts", "places", lambda t, p: (F.length(t) * 8 + p).cast("int")).alias("shape")
+    few = stored(every.select("k1", "k2", "host", "path", "body", "marked", shape, "lines").dropDuplicates(["k1", "k2"]), "lines")
     near = stored(partners(few), "near")
-    seen = stored(shared_lines(few.drop("host", "path", "body"), witnesses(near)), "shared")
-    release(few, near)
+    few = few.drop("host", "path", "body")
+    seen = stored(shared_lines(few, witnesses(near)), "shared")
+    changed = stored(decided(few, seen), "decided")
     schema = arrow_schema(SCHEMA)
 
     def run(batches):
         for whole in batches:
             for b in slices(whole, 4, 2_000_000):
                 texts = []
-                for marked, places, lines, found in zip(*(column(b, i) for i in (2, 3, 4, 5)), strict=True):
-                    texts.append("\n".join(lines[i] for i in staying(marked, places, list(map(len, lines)), found or [])))
+                for marked, places, lines, stay in zip(*(column(b, i) for i in (2, 3, 4, 5)), strict=True):
+                    texts.append("\n".join(lines[i] for i in (stay if stay is not None else staying(marked, places, list(map(len, lines)), []))))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], schema=schema)
 
-    rows = every.join(seen, ["k1", "k2"], "left").select("page_id", "url", "marked", "places", "texts", "seen")
+    # The texts stay where they are unless many pages have changed: Spark knows the size of the stored table.
+    rows = every.join(changed, ["k1", "k2"], "left").select("page_id", "url", "marked", "places", "texts", "stay")
     return mapped(rows, run, SCHEMA)
 
 
