@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from quern.llm import components, gray_index, simhash
 
@@ -65,15 +66,49 @@ def test_index_links_like_brute_force():
     for trial in range(4):
         codes = families(rng, 500, 6)
         rng.shuffle(codes)
-        groups = np.array([rng.randrange(3) for _ in codes])
-        got = gray_index.spanning_links(np.array(codes, np.uint64), groups, 4, most=2_000_000 if trial % 2 else 3000)
-        for g in range(3):
-            at = np.flatnonzero(groups == g)
-            want = brute_components(at.tolist(), [codes[i] for i in at])
-            mine = [int(got[i]) for i in at]
-            assert len(set(zip(want, mine))) == len(set(want)) == len(set(mine))
+        most = 2_000_000 if trial % 2 else 3000
+        got = gray_index.spanning_links(np.array(codes, np.uint64), 4, most=most).tolist()
+        want = brute_components(list(range(len(codes))), codes)
+        assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+        n = rng.randrange(100, 400)  # links between two parts and those inside each, put together, are all links
+        x, y = np.array(codes[:n], np.uint64), np.array(codes[n:], np.uint64)
+        pairs = [*enumerate(gray_index.spanning_links(x, 4, most=most).tolist()), *((n + i, n + k) for i, k in enumerate(gray_index.spanning_links(y, 4, most=most).tolist())), *enumerate(gray_index.crossing_links(x, y, 4, most=most).tolist())]
+        up = list(range(len(codes)))
+
+        def root(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+
+        for i, k in pairs:
+            up[root(i)] = root(k)
+        got = [root(i) for i in range(len(codes))]
+        assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
     dense = np.array(sorted({1 << i | 1 << j for i in range(64) for j in range(64)}), np.uint64)
-    assert len(set(gray_index.spanning_links(dense, np.zeros(len(dense), int), 4).tolist())) == 1
+    assert len(set(gray_index.spanning_links(dense, 4).tolist())) == 1
+    assert gray_index.crossing_links(dense, dense[:0], 4).tolist() == list(range(len(dense))) and len(gray_index.spanning_links(dense[:0], 4)) == 0
+
+
+def test_pairs_of_chunks_lose_no_link(spark):
+    rng = random.Random(7)
+    codes = families(rng, 3000, 6)
+    signed = [(c - 2**64 if c >= 2**63 else c,) for c in codes]
+    df = spark.createDataFrame(signed, "code long").repartition(5)
+    ranks = gray_index.gray_rank(np.array(codes, np.uint64))
+    assert [r["code"] for r in df.orderBy(simhash.gray_rank(F.col("code"))).collect()] == [signed[i][0] for i in np.argsort(ranks).tolist()]
+    place = {c: i for i, (c,) in enumerate(signed)}
+    up = list(range(len(codes)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for r in simhash.links(df, chunk=50).collect():
+        up[root(place[r.a])] = root(place[r.b])
+    want = brute_components(list(range(len(codes))), codes)
+    mine = [root(i) for i in range(len(codes))]
+    assert len(set(zip(want, mine))) == len(set(want)) == len(set(mine))
 
 
 def test_components(spark):
@@ -102,7 +137,7 @@ def test_clustered_equals_brute_force(spark):
     codes = [brute_fingerprint(t) for _, t, _ in rows]
     want = sorted(((i, f"{c:016x}", k) for (i, _, _), c, k in zip(rows, codes, brute_components([r[0] for r in rows], codes))), key=str)
     assert sorted(map(tuple, simhash.clustered(docs).collect()), key=str) == want
-    assert sorted(map(tuple, simhash.clustered(docs, bucket=8).collect()), key=str) == want
+    assert sorted(map(tuple, simhash.clustered(docs, chunk=8).collect()), key=str) == want
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     up = brute_components(list(range(len(rows))), codes)
