@@ -2,7 +2,7 @@
 
 The tree is fitted on a bounded sample (PER_LEAF vectors a leaf, at most MAX_LEAVES leaves) and
 every vector is put into the leaf it reaches. A query opens leaves in the order of a
-priority queue of branches. How many it opens is calibrated: CALIBRATION queries are
+priority queue of branches. How many it opens is calibrated: CALIBRATION vectors that are no queries (queries, if there are no others) are
 answered by brute force over all vectors, the places of their true neighbours' leaves in their
 own traversals are looked up, and visits widen until TARGET of those neighbours are
 reached (``calibrated`` returns that number and recall). A query opens further leaves until
@@ -10,8 +10,9 @@ they hold as many vectors as it must return.
 
 Equal vectors are one entry with its K + 1 smallest ids (found by a ranked window, which keeps
 no more than that per key before the shuffle), so a vector that a third of the rows share
-costs no more than any other. Leaves above CHUNK entries are cut into chunks; queries and
-vectors meet per chunk. A query's nearest leaves are searched first; the K-th distance found
+costs no more than any other. Leaves above CHUNK entries are cut into chunks and queries into parts of QUERIES;
+the part's queries that open a leaf meet a chunk of it in one task, so no task has more than QUERIES vectors on the
+one side and about CHUNK on the other. A query's nearest leaves are searched first; the K-th distance found
 there bounds what the later ones give back, so results grow with the queries, not with visits.
 
 Distances are Euclidean, from the original vectors in double precision.
@@ -39,13 +40,15 @@ K = 10
 EVERY = 100
 LEAF, MAX_LEAVES, PER_LEAF = 128, 4096, 16
 CHUNK = 256
+#: Queries of a part, on average.
+QUERIES = 1024
 CALIBRATION = 128
 TARGET = 0.95
 #: Numbers of a sample on the driver, whatever the vectors' length.
 SAMPLE_NUMBERS = 8_000_000
 
 ENTRY = "g1 long, g2 long, vec array<double>, ids array<long>"
-SENT = "vec_id long, g1 long, g2 long, vec array<double>, bound double, leaf long, chunk int"
+SENT = "vec_id long, g1 long, g2 long, vec array<double>, bound double, part int, leaf long, chunk int"
 FOUND = "query_id long, g1 long, g2 long, vec_id long, score double"
 
 
@@ -92,7 +95,7 @@ class Index:
         size = min(leaves * PER_LEAF, max(leaves, SAMPLE_NUMBERS // max(1, dims)))
         sample = self.entries.orderBy("g1", "g2").limit(size).select("vec").toArrow()["vec"].combine_chunks() if n else None  # at most SAMPLE_NUMBERS numbers
         self.tree = Tree(_matrix(sample if isinstance(sample, pa.Array) else sample.combine_chunks()), leaves) if n else None
-        self.visits, self.recall = 1, 1.0
+        self.visits, self.recall, self.asked = 1, 1.0, 0
         if n:
             self.shared = spark.sparkContext.broadcast(self.tree)
             shared = self.shared
@@ -140,7 +143,7 @@ class Index:
 
         def route(batches):
             for b in batches:
-                for i, q in enumerate(_matrix(b.column(3))):
+                for i, q in enumerate(_matrix(b.column(3))):  # a query's row is repeated per chunk it opens
                     opened, held = [], 0
                     for n, leaf in enumerate(shared.value.visits(q), 1):
                         if later == (held > k):
@@ -164,16 +167,25 @@ class Index:
 
         spark = queries.sparkSession
         ship(spark)
-        sent = mapped(queries.select("vec_id", "g1", "g2", "vec", "bound"), route, SENT)
+        parts = max(1, -(-self.asked // QUERIES))
+        part = F.pmod(F.xxhash64("vec_id", "g1"), F.lit(parts)).cast("int").alias("part")
+        sent = mapped(queries.select("vec_id", "g1", "g2", "vec", "bound", part), route, SENT)
         counts = spark.createDataFrame(sorted(chunks.items()), "leaf long, chunks int")  # at most MAX_LEAVES rows
         cut = self.placed.join(F.broadcast(counts), "leaf").withColumn("chunk", F.pmod(F.xxhash64("g1", "g2"), F.col("chunks")).cast("int")).drop("chunks")
-        return sent.groupBy("leaf", "chunk").cogroup(cut.groupBy("leaf", "chunk")).applyInArrow(meet, FOUND)
+        if parts > 1:  # each part gets the leaves that it opens, no others
+            sent = stored(sent, "sent")
+            cut = cut.join(sent.select("leaf", "part").distinct().toDF("leaf", "part"), "leaf")
+        else:
+            cut = cut.withColumn("part", F.lit(0))
+        key = ["part", "leaf", "chunk"]
+        return sent.groupBy(*key).cogroup(cut.groupBy(*key)).applyInArrow(meet, FOUND)
 
     def search(self, queries: DataFrame) -> DataFrame:
         """queries: (vec_id, vec, g1, g2). Gives (query_id, rank, vec_id, score).
 
         The nearest leaves come first; the k-th distance found there bounds what later leaves send.
         """
+        self.asked = queries.count()
         rank = F.row_number().over(Window.partitionBy("query_id", "g1", "g2").orderBy("score", "vec_id"))
         best = lambda met: met.withColumn("rank", rank).where(F.col("rank") <= self.k)
         first = stored(best(self._met(queries.withColumn("bound", F.lit(float("inf"))), False)), "first")
@@ -188,7 +200,8 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     if index.tree is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = index.rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "g1", "g2"])
-    return index.calibrated(queries).search(queries)
+    others = index.rows.where(F.col("vec_id") % every != 0)
+    return index.calibrated(queries if others.isEmpty() else others).search(queries)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -37,7 +37,9 @@ def test_tree_reaches_every_leaf():
     assert Tree(np.ones((100, 4)), 9).leaves == 1
 
 
-def test_recall_and_scores(spark):
+@pytest.mark.parametrize("part", [neighbours.QUERIES, 20])
+def test_recall_and_scores(spark, monkeypatch, part):
+    monkeypatch.setattr(neighbours, "QUERIES", part)
     rows = table(3000)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got: dict = {}
