@@ -16,7 +16,7 @@ from quern.plans.scratch import stored
 from quern.sources.tables import table
 
 #: Differing bits of distinct-word fingerprints that make a candidate; bands of minimum digests add those it misses (see the README).
-NEAR_BITS = 6
+NEAR_BITS = 4
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
