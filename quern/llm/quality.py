@@ -5,8 +5,8 @@ repeats, word lengths) and that of the lines before and after it; the field adds
 neighbour's state says. Forward-backward marginals, weighted by line length, are the
 document's quality, and a logistic curve maps that to the chance of label 1.
 
-The field is fitted on a bounded sample: at most SAMPLE_ROWS labelled rows of each class, whole texts, the first
-of them whose lines add up to SAMPLE_LINES; a document's label holds for all its lines. The curve is fitted
+The field is fitted on a bounded sample: at most SAMPLE_ROWS labelled rows of each class that have at most
+TEXT_LINES lines, the first of them whose lines add up to SAMPLE_LINES; a document's label holds for all its lines. The curve is fitted
 on raw scores from FIT_FOLDS fields, none of which has seen the text or a copy of it. Every
 document is scored over its whole text.
 
@@ -33,7 +33,7 @@ from quern.llm.labelled import Platt, class_weights, remainder, sample
 from quern.plans.scratch import release, stored
 
 SAMPLE_ROWS = 3000
-SAMPLE_LINES = 300_000
+TEXT_LINES, SAMPLE_LINES = 2000, 300_000
 FIT_FOLDS = 3
 FOLDS = 5
 THRESHOLD = 0.3
@@ -107,7 +107,7 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col:
                 out = []
                 for i, x, y in zip(*(column(b, k) for k in range(3)), strict=True):
                     f, w = features(x)
-                    if len(w):
+                    if 0 < len(w) <= TEXT_LINES:
                         out.append((i, y, len(w), f[:, :_N].astype(np.float32).tobytes(), w.astype(np.float32).tobytes()))
                 cols = list(zip(*out, strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
