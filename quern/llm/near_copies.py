@@ -36,7 +36,7 @@ BANDS, ROWS = 40, 5
 #: Shingles whose digests under all functions are worked out at a time.
 CHUNK = 2048
 #: Nodes of a cell that make a block.
-BLOCK = 256
+BLOCK = 128
 
 _RNG = np.random.default_rng(simhash.SEED)
 _ODD = _RNG.integers(0, 2**64, BANDS * ROWS, np.uint64) | np.uint64(1)
