@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import byte_bpe, mixing, near_copies, quality_rules, substring
-from quern.plans.scratch import stored
+from quern.plans.scratch import release, stored
 from quern.sources.tables import table
 
 #: Differing bits of distinct-word fingerprints that make a candidate; bands of minimum digests add those it misses (see the README).
@@ -57,9 +57,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, done = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(*done)
+        done = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -100,6 +100,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source:
     sums = stored(sums, "sources")
     aimed = targets(sums.select("source", "source_size"), **kind).toDF("a_source", "source_size", "target")
     plan = aimed.join(sums.select(F.col("source").alias("p_source"), "start"), F.col("a_source").eqNullSafe(F.col("p_source"))).drop("p_source")
+    plan = stored(plan, "plan")  # of known size: Spark takes a join's for the product of its sides and would shuffle all rows, texts included
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     at = F.col("at") - F.col("start")
     crossed = F.floor(F.lit(offset) + (at + 1) * F.col("e")) - F.floor(F.lit(offset) + at * F.col("e"))

@@ -174,13 +174,13 @@ def edges(docs: DataFrame, nodes: DataFrame, text: str, limit: int) -> DataFrame
     reps = stored(representatives(links), "reps").toDF("node", "rep")
     apart = stored(live.join(reps, "node", "left").select("key", "node", "n", F.coalesce("rep", "node").alias("rep")), "apart")
     mixed = apart.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
-    more = stored(across(stored(apart.join(mixed, "key", "left_semi"), "apart"), sets), "links")
+    more = across(stored(apart.join(mixed, "key", "left_semi"), "apart"), sets)
     release(sets, keyed, live, apart)
     return links.union(more)
 
 
 def across(apart: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """apart: stored (key, node, n, rep). Gives (a, b): links that join all alike nodes of a band with different reps."""
+    """apart: stored (key, node, n, rep). Gives (a, b), stored: links that join all alike nodes of a band with different reps."""
     heads = apart.groupBy("key").agg(F.min("node").alias("head"))
     cells = representatives(apart.select("key", "node").join(heads, "key").select(F.col("head").alias("a"), F.col("node").alias("b"))).toDF("node", "cell")
     banded = apart.groupBy("node").agg(F.first("rep").alias("rep"), F.collect_set("key").alias("keys"))  # BANDS keys at most
@@ -199,7 +199,9 @@ def across(apart: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
         return pa.table([pa.array(node[x]) for x in pairs], schema=schema)
 
     ship(apart.sparkSession)
-    return dealt.groupBy("cell", "i", "j").applyInArrow(meet, "a long, b long")
+    links = stored(dealt.groupBy("cell", "i", "j").applyInArrow(meet, "a long, b long"), "links")
+    release(rows)
+    return links
 
 
 def alike_pairs(node: np.ndarray, rep: np.ndarray, keys: tuple[np.ndarray, np.ndarray], marks: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -156,8 +156,8 @@ def _keys(text: str):
     return body, F.xxhash64(body), F.shiftright(F.xxhash64(F.lit("lo"), body), 32).cast("int")
 
 
-def texts_and_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(g1, lo, text, copies, runs): each distinct text with the runs (first window start, more starts) of its repeated windows."""
+def texts_and_runs(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """Two tables as stored: (g1, lo, text, copies) of each distinct text; (g1, lo, runs) of those with repeated windows."""
     body, g1, lo = _keys(text)
     once = docs.select(g1.alias("g1"), lo.alias("lo"), body.alias("text")).groupBy("g1", "lo").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     texts = bucketed(once, "texts", ["g1", "lo"])
@@ -211,9 +211,18 @@ def texts_and_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH,
     found = whole_blocks.union(lone).select("g1", F.shiftright("x", 32).cast("int").alias("lo"), F.struct(F.col("x").bitwiseAND(0xFFFFFFFF).cast("int").alias("s"), "y").alias("run"))
     runs = stored(found.groupBy("g1", "lo").agg(F.collect_list("run").alias("runs")), "runs")
     release(seeds_, blocks, kinds, windows, again)
+    return texts, runs
+
+
+def _joined(texts: DataFrame, runs: DataFrame) -> DataFrame:
     return texts.join(runs, ["g1", "lo"], "left").select("g1", "lo", "text", "copies", "runs")
 
 
+def texts_and_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(g1, lo, text, copies, runs): each distinct text with the runs (first window start, more starts) of its repeated windows."""
+    return _joined(*texts_and_runs(docs, text, length, gram))
+
+
 def _removed(n: int, copies: int, runs, length: int) -> np.ndarray | None:
     """Which of a text's n words go; None if none does."""
     if n >= length and copies > 1:
@@ -267,7 +276,9 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, g
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, schema.field(2).type)], schema=schema)
 
     _, g1, lo = _keys(text)
-    kept = stored(mapped(texts_and_repeats(docs, text, length, gram), run, "g1 long, lo int, kept string"), "kept")
+    texts, runs = texts_and_runs(docs, text, length, gram)
+    kept = stored(mapped(_joined(texts, runs), run, "g1 long, lo int, kept string"), "kept")
+    release(texts, runs)
     others = [c for c in docs.columns if c != text]
     rows = docs.select(F.struct(F.lit(0).alias("q_0"), *(F.col(f"`{c}`") for c in others)).alias("q_row"), F.col(f"`{text}`").isNull().alias("q_null"), g1.alias("g1"), lo.alias("lo"))
     joined = rows.join(kept, ["g1", "lo"])
