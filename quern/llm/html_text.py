@@ -338,7 +338,7 @@ def unpacked(shape: list[int]) -> tuple[list[int], list[int]]:
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    every = stored(parsed(pages, id_col, url_col, html_col), "parsed")
+    every = parsed(pages, id_col, url_col, html_col)  # twice, for its keys are digests of the page: a table of all texts takes as much disk as the pages
     shape = F.zip_with("texts", "places", lambda t, p: (F.length(t) * 8 + p).cast("int")).alias("shape")
     few = stored(every.select("k1", "k2", "host", "path", "body", "marked", shape, "lines").dropDuplicates(["k1", "k2"]), "lines")
     near = stored(partners(few), "near")
@@ -355,7 +355,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                     texts.append("\n".join(lines[i] for i in (stay if stay is not None else staying(marked, places, list(map(len, lines)), []))))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], schema=schema)
 
-    # The texts stay where they are unless many pages have changed: Spark knows the size of the stored table.
+    # The texts stay in the tasks that parse them unless many pages have changed: Spark knows the size of the stored table.
     rows = every.join(changed, ["k1", "k2"], "left").select("page_id", "url", "marked", "places", "texts", "stay")
     return mapped(rows, run, SCHEMA)
 

@@ -4,18 +4,24 @@ import glob
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
-from quern.llm import mixing, near_copies, substring
+from quern.llm import html_text, mixing, near_copies, substring
 from quern.plans.scratch import shared_dir
 
 
 @pytest.fixture()
 def made(spark):
-    """Gives the names of the intermediate tables that are there and were not at the test's start."""
-    here = lambda: {p.rsplit("/", 1)[-1] for p in glob.glob(f"{shared_dir(spark).removeprefix('file://')}/*")}
+    """Gives the names of the intermediate tables that are there and were not at the test's start; columns(): those of their columns."""
+    here = lambda: set(glob.glob(f"{shared_dir(spark).removeprefix('file://')}/*"))
     before = here()
-    return lambda: sorted(re.split("[-_][0-9a-f]{32}", p)[0] for p in here() - before)
+
+    def names():
+        return sorted(re.split("[-_][0-9a-f]{32}", p.rsplit("/", 1)[-1])[0] for p in here() - before)
+
+    names.columns = lambda: {c for p in here() - before for f in glob.glob(f"{p}/*.parquet") for c in pq.read_schema(f).names}
+    return names
 
 
 def corpus(n=40, words=120, seed=5):
@@ -52,3 +58,11 @@ def test_sets_of_a_finished_search_for_near_copies_go(spark, made):
     left = made()
     assert "heads" in left and not {"cells", "sets", "bands", "live"} & set(left)
     assert sorted(map(tuple, out.collect())) == rows
+
+
+def test_texts_of_pages_are_not_stored(spark, made):
+    words = dict(corpus(n=60, words=400))
+    pages = [(i, f"http://h.org/{i // 10}/{i}", f"<article><p>{t}</p></article>") for i, t in words.items()]
+    out = html_text.extracted(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert "lines" in made.columns() and not {"text", "texts"} & made.columns()
+    assert {r["page_id"]: r["text"] for r in out.collect()} == words
