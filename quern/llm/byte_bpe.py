@@ -290,7 +290,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     schema = arrow_schema("doc_id long, ids array<int>")
 
     def run(batches):
-        written = Written(codec(raw.value, pattern), lambda i: i.to_bytes(4, sys.byteorder))
+        written = Written(codec(raw.value, pattern), lambda i: i.to_bytes(4, sys.byteorder), decode=False)
         for b in batches:
             for part in slices(b, 1, BLOCK):
                 ids = [b"".join([x for x, _ in parts]) for parts in written.block([t or "" for t in column(part, 1)])]
@@ -316,10 +316,10 @@ def decoded(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
 
 
 class Written:
-    """Ids in the form of ``number`` and the bytes they stand for, by chunk, in two generations."""
+    """Ids in the form of ``number`` and, if they are to be decoded, the bytes they stand for, by chunk, in two generations."""
 
-    def __init__(self, codec: Codec, number: Callable[[int], bytes]):
-        self.codec = codec
+    def __init__(self, codec: Codec, number: Callable[[int], bytes], decode: bool = True):
+        self.codec, self.decode = codec, decode
         self.number = {i: number(i) for i in codec.tokens}
         self.ids: dict[str, bytes] = {}
         self.raw: dict[str, bytes] = {}
@@ -327,7 +327,7 @@ class Written:
         self.long: list[str] = []
 
     def both(self, ids: Iterable[int]) -> tuple[bytes, bytes]:
-        return b"".join(map(self.number.__getitem__, ids)), self.codec.decode(ids)
+        return b"".join(map(self.number.__getitem__, ids)), self.codec.decode(ids) if self.decode else b""
 
     def know(self, chunks: set[str]) -> None:
         """Make what is missing, but for chunks with white space at an end, whose pieces depend on what stands beside them."""
@@ -335,7 +335,9 @@ class Written:
         fresh = chunks.difference(ids)
         again = fresh.intersection(old_ids) if old_ids else ()
         for x in again:
-            ids[x], raw[x] = old_ids[x], old_raw[x]
+            ids[x] = old_ids[x]
+            if self.decode:
+                raw[x] = old_raw[x]
         new = [x for x in fresh.difference(again) if x and not x[0].isspace() and not x[-1].isspace()]
         if not new:
             return
@@ -353,7 +355,8 @@ class Written:
         join = b"".join
         for x, i in zip(new, found, strict=True):
             ids[x] = join(map(number, i))
-            raw[x] = join(map(token, i))
+            if self.decode:
+                raw[x] = join(map(token, i))
 
     def tidy(self) -> None:
         for x in self.long:
@@ -367,16 +370,20 @@ class Written:
         """The parts of each text. All new chunks of the block, and the beginnings of its texts, are one corpus."""
         self.codec.tidy()
         self.tidy()
-        cut: list[list[str] | None] = [t.split(" ") if len(t) <= 2 * STRETCH else None for t in texts]
-        self.codec.learn(p for x in cut if x for p in self.codec.pattern.findall(x.pop(0)))
-        self.know(set().union(*[x for x in cut if x]))
-        return map(self.parts, texts, cut)
-
-    def parts(self, text: str, chunks: list[str] | None) -> Iterator[tuple[bytes, bytes]]:
-        """(ids, bytes) of a text, stretch by stretch; chunks: the text cut at its spaces, if its chunks are known."""
-        if chunks is not None:
+        short = [t for t in texts if len(t) <= 2 * STRETCH]
+        self.codec.learn(p for t in short for p in self.codec.pattern.findall(t.partition(" ")[0]))
+        chunks: set[str] = set()
+        for t in short:  # one text's list at a time: the words of a block take ten times its bytes
+            chunks.update(t.split(" ")[1:])
+        self.know(chunks)
+        return map(self.parts, texts)
+
+    def parts(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+        """(ids, bytes) of a text of the block, stretch by stretch."""
+        if len(text) <= 2 * STRETCH:
+            chunks = text.split(" ")[1:]
             try:
-                whole = b"".join(map(self.ids.__getitem__, chunks)), b"".join(map(self.raw.__getitem__, chunks))
+                whole = b"".join(map(self.ids.__getitem__, chunks)), b"".join(map(self.raw.__getitem__, chunks)) if self.decode else b""
             except KeyError:  # white space beside a space somewhere
                 pass
             else:

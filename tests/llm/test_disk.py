@@ -1,4 +1,4 @@
-"""What operators leave in the folder for intermediate tables, and what they shuffle."""
+"""What operators leave in the folder for intermediate tables, what they shuffle and what they keep in memory."""
 
 import glob
 import random
@@ -7,7 +7,8 @@ import re
 import pyarrow.parquet as pq
 import pytest
 
-from quern.llm import html_text, mixing, near_copies, substring
+from quern.llm import byte_bpe, html_text, mixing, near_copies, substring
+from quern.operators.explore import with_index
 from quern.plans.scratch import shared_dir
 
 
@@ -66,3 +67,21 @@ def test_texts_of_pages_are_not_stored(spark, made):
     out = html_text.extracted(spark.createDataFrame(pages, "page_id long, url string, html string"))
     assert "lines" in made.columns() and not {"text", "texts"} & made.columns()
     assert {r["page_id"]: r["text"] for r in out.collect()} == words
+
+
+def test_numbering_needs_no_python_worker(spark):
+    plan = with_index(spark.range(50), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan
+    assert [r["index"] for r in with_index(spark.range(50), "id").orderBy("id").collect()] == list(range(50))
+    assert with_index(spark.range(0), "id").collect() == []
+
+
+def test_an_encoder_keeps_no_decoded_words():
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b" ab": 257}
+    texts = [f"ab {t}  x" for _, t in corpus(n=5)] + ["", "ab", " ab"]
+    both, ids = (byte_bpe.Written(byte_bpe.Codec(ranks, r" ?[^\s]+|\s+"), lambda i: b" %d" % i, decode=d) for d in (True, False))
+    want = [list(x) for x in both.block(texts)]
+    got = [list(x) for x in ids.block(texts)]
+    assert ["".join(b.decode() for _, b in x) for x in want] == texts
+    assert [[i for i, _ in x] for x in got] == [[i for i, _ in x] for x in want]
+    assert len(ids.ids) == len(both.ids) > 100 and not ids.raw
