@@ -7,10 +7,11 @@ a heap; a rank's merges are applied at all its positions, left to right, and onl
 pairs to the left and right of a merge enter the index anew. If a new pair ranks
 below the one at work, that pair comes first, as it would word by word.
 
-A block is at most 4 MB of text, so memory is bounded; what was encoded
-before in the same worker is looked up, from one lone space to the next (the cache is
-emptied when full). Patterns must begin a piece at every space that stands between two
-characters which are not white space, as those of the public byte-level vocabularies do.
+A block is at most 4 MB of text, so memory is bounded; what was encoded in this block
+or shortly before is looked up, from one lone space to the next. Longer texts are cut into
+stretches, whose pieces are looked up in a cache (emptied when full). Patterns must begin
+a piece at every space that stands between two characters which are not white space, as
+those of the public byte-level vocabularies do.
 
 Defined cases: a null text counts as an empty one (no ids, digests of nothing); null
 ids and repeated rows are kept as they are; an empty table gives an empty result;
@@ -93,6 +94,8 @@ class Codec:
 
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {i: b for b, i in ranks.items()}
+        #: One object for each id: ids that are kept share it.
+        self.own = {i: i for i in self.tokens}
         self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         #: Two tokens, as one number, to the rank of merging them: every cut of every token into two.
         self.pair_ranks = {a << WIDTH | c: r for b, r in ranks.items() for k in range(1, len(b)) if (a := ranks.get(b[:k])) is not None and (c := ranks.get(b[k:])) is not None}
@@ -192,22 +195,27 @@ class Codec:
                     heapq.heappush(heap, rank)
                     break
         alive = tokens >= 0
-        ids = tokens[alive].tolist()
+        ids = [*map(self.own.__getitem__, tokens[alive].tolist())]
         ends = np.cumsum(np.bincount(word[alive], minlength=len(words))).tolist()
         return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Put the ids of all pieces that are not there yet into the cache."""
-        young, whole = self.cache.young, []
-        for p in self.cache.missing(set(pieces)):
-            i = self.ranks.get(raw := p.encode())
+    def made(self, pieces: Iterable[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+        """(piece, its ids) for each of the distinct pieces; nothing is kept."""
+        whole: list[str] = []
+        for p in pieces:
+            i = self.ranks.get(p.encode())
             if i is None:
-                whole.append((p, raw))
+                whole.append(p)
             else:
-                young[p] = (i,)
+                yield p, (i,)
         for k in range(0, len(whole), CORPUS_WORDS):
             part = whole[k : k + CORPUS_WORDS]
-            young.update(zip((p for p, _ in part), self.replay([raw for _, raw in part]), strict=True))
+            yield from zip(part, self.replay([p.encode() for p in part]), strict=True)
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Put the ids of all pieces that are not there yet into the cache."""
+        missing = self.cache.missing(set(pieces))
+        self.cache.young.update(self.made(missing))
 
     def cut(self, chunks: list[str]) -> Iterator[tuple[str, list[tuple[int, ...]]]]:
         """(chunk, ids of each piece of " " + chunk)."""
@@ -289,14 +297,18 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     raw = _vocabulary(docs, path)
     schema = arrow_schema("doc_id long, ids array<int>")
 
+    def listed(written, part):  # apart, so that nothing of a block outlives its result
+        ids = [b"".join([x for x, _ in parts]) for parts in written.block([t or "" for t in column(part, 1)])]
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        return pa.RecordBatch.from_arrays([part.column(0), lists.cast(schema.field(1).type)], schema=schema)
+
     def run(batches):
         written = Written(codec(raw.value, pattern), lambda i: i.to_bytes(4, sys.byteorder), decode=False)
         for b in batches:
             for part in slices(b, 1, BLOCK):
-                ids = [b"".join([x for x, _ in parts]) for parts in written.block([t or "" for t in column(part, 1)])]
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists.cast(schema.field(1).type)], schema=schema)
+                yield listed(written, part)
+            del b, part  # not beside the next batch
         written.codec.forget()
 
     return mapped(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, "doc_id long, ids array<int>")
@@ -316,55 +328,62 @@ def decoded(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
 
 
 class Written:
-    """Ids in the form of ``number`` and, if they are to be decoded, the bytes they stand for, by chunk, in two generations."""
+    """Ids in the form of ``number`` and, if they are to be decoded, the bytes they stand for: by chunk for one block, by piece for those shortly before too."""
 
     def __init__(self, codec: Codec, number: Callable[[int], bytes], decode: bool = True):
         self.codec, self.decode = codec, decode
         self.number = {i: number(i) for i in codec.tokens}
         self.ids: dict[str, bytes] = {}
         self.raw: dict[str, bytes] = {}
+        self.pieces: tuple[dict, dict] = ({}, {})
         self.old: tuple[dict, dict] = ({}, {})
         self.long: list[str] = []
+        #: Characters of the texts whose pieces are in ``pieces``.
+        self.read = 0
 
     def both(self, ids: Iterable[int]) -> tuple[bytes, bytes]:
         return b"".join(map(self.number.__getitem__, ids)), self.codec.decode(ids) if self.decode else b""
 
+    def learn(self, pieces: set[str]) -> None:
+        """Make the ids and bytes of all pieces that are not there yet."""
+        (ids, raw), (old_ids, old_raw), decode = self.pieces, self.old, self.decode
+        fresh = pieces.difference(ids)
+        again = fresh.intersection(old_ids) if old_ids else ()
+        for p in again:
+            ids[p] = old_ids[p]
+            if decode:
+                raw[p] = old_raw[p]
+        new = fresh.difference(again)
+        self.long += [p for p in new if len(p) > LONG]
+        number, token, join = self.number.__getitem__, self.codec.tokens.__getitem__, b"".join
+        for p, i in self.codec.made(new):
+            ids[p] = join(map(number, i))
+            if decode:
+                raw[p] = join(map(token, i))
+
     def know(self, chunks: set[str]) -> None:
         """Make what is missing, but for chunks with white space at an end, whose pieces depend on what stands beside them."""
-        ids, raw, (old_ids, old_raw) = self.ids, self.raw, self.old
-        fresh = chunks.difference(ids)
-        again = fresh.intersection(old_ids) if old_ids else ()
-        for x in again:
-            ids[x] = old_ids[x]
-            if self.decode:
-                raw[x] = old_raw[x]
-        new = [x for x in fresh.difference(again) if x and not x[0].isspace() and not x[-1].isspace()]
+        new = [x for x in chunks.difference(self.ids) if x and not x[0].isspace() and not x[-1].isspace()]
         if not new:
             return
-        self.long += [x for x in new if len(x) > LONG]
         # One text of all new chunks: a piece that begins with a space begins a chunk.
         pieces = self.codec.pattern.findall(" " + " ".join(new))
-        self.codec.learn(pieces)
-        cache, number, token = self.codec.cache.young, self.number.__getitem__, self.codec.tokens.__getitem__
-        found: list[tuple[int, ...]] = []
-        for p in pieces:
-            if p[0] == " ":
-                found.append(cache[p])
-            else:
-                found[-1] += cache[p]
-        join = b"".join
-        for x, i in zip(new, found, strict=True):
-            ids[x] = join(map(number, i))
-            if self.decode:
-                raw[x] = join(map(token, i))
+        self.learn(set(pieces))
+        starts = [k for k, p in enumerate(pieces) if p[0] == " "]
+        ends = [*starts[1:], len(pieces)]
+        for out, found in zip((self.ids, self.raw), self.pieces if self.decode else self.pieces[:1], strict=False):
+            for x, lo, hi in zip(new, starts, ends, strict=True):
+                out[x] = found[pieces[lo]] if hi - lo == 1 else b"".join([found[p] for p in pieces[lo:hi]])
 
     def tidy(self) -> None:
-        for x in self.long:
-            self.ids.pop(x, None)
-            self.raw.pop(x, None)
+        """Drop the chunks, and pieces last used more than a block of text ago: so memory is bounded, and what is frequent is kept."""
+        self.ids, self.raw = {}, {}
+        for p in self.long:
+            for kept in self.pieces:
+                kept.pop(p, None)
         self.long.clear()
-        if len(self.ids) > CACHED_PIECES:
-            self.old, self.ids, self.raw = (self.ids, self.raw), {}, {}
+        if self.read >= BLOCK // 2:
+            self.old, self.pieces, self.read = self.pieces, ({}, {}), 0
 
     def block(self, texts: list[str]) -> Iterator[Iterator[tuple[bytes, bytes]]]:
         """The parts of each text. All new chunks of the block, and the beginnings of its texts, are one corpus."""
@@ -375,6 +394,7 @@ class Written:
         chunks: set[str] = set()
         for t in short:  # one text's list at a time: the words of a block take ten times its bytes
             chunks.update(t.split(" ")[1:])
+            self.read += len(t)
         self.know(chunks)
         return map(self.parts, texts)
 
@@ -392,6 +412,7 @@ class Written:
                 yield whole
                 return
         for head, rest in stretches(text):
+            self.codec.tidy()  # a text may be all new words
             yield from (self.both(list(chain.from_iterable(x))) for x in self.codec.head(head))
             for x, found in self.codec.cut(rest):
                 yield self.both(list(chain.from_iterable(found)))

@@ -3,6 +3,7 @@
 import glob
 import random
 import re
+import tracemalloc
 
 import pyarrow.parquet as pq
 import pytest
@@ -85,3 +86,37 @@ def test_an_encoder_keeps_no_decoded_words():
     assert ["".join(b.decode() for _, b in x) for x in want] == texts
     assert [[i for i, _ in x] for x in got] == [[i for i, _ in x] for x in want]
     assert len(ids.ids) == len(both.ids) > 100 and not ids.raw
+
+
+def test_an_encoder_keeps_the_words_of_recent_blocks_only(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BLOCK", 4_000)
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b" ab": 257, b" a": 258}
+    codec, replayed, held = byte_bpe.Codec(ranks, r" ?[^\s,]+|,|\s+"), [], []
+    blocks = [[" ".join(["ab", *(f"abba{n:02}x{k}x{i}, abba" for i in range(90))]) for k in range(4)] for n in range(12)]
+    want = [[(b"".join(b" %d" % i for i in codec.encode(t)), t.encode()) for t in texts] for texts in blocks]
+    codec.forget()
+    replay = codec.replay
+    monkeypatch.setattr(codec, "replay", lambda words: replayed.append(b" abba" in words) or replay(words))
+    written = byte_bpe.Written(codec, lambda i: b" %d" % i)
+    tracemalloc.start()
+    try:
+        for texts, those in zip(blocks, want, strict=True):
+            got = [tuple(map(b"".join, zip(*parts, strict=True))) for parts in written.block(texts)]
+            assert got == those
+            del got
+            held.append(tracemalloc.get_traced_memory()[0])
+    finally:
+        tracemalloc.stop()
+    assert replayed.count(True) == 1  # what is frequent is not made again
+    assert held[-1] < 1.3 * held[2]  # though all other words are new
+
+
+def test_an_encoder_keeps_a_bounded_part_of_a_long_text(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "STRETCH", 500)
+    monkeypatch.setattr(byte_bpe, "CACHED_PIECES", 50)
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b" ab": 257}
+    written = byte_bpe.Written(byte_bpe.Codec(ranks, r" ?[^\s]+|\s+"), lambda i: b" %d" % i)
+    text = " ".join(f"ab{i}" for i in range(3_000))
+    (parts,) = written.block([text])
+    assert b"".join(b for _, b in parts).decode() == text
+    assert max(map(len, (written.codec.cache.young, written.codec.cache.old))) < 300
