@@ -328,17 +328,20 @@ def decoded(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
 
 
 class Written:
-    """Ids in the form of ``number`` and, if they are to be decoded, the bytes they stand for: by chunk for one block, by piece for those shortly before too."""
+    """Ids in the form of ``number`` and, if they are to be decoded, the bytes they stand for.
 
-    def __init__(self, codec: Codec, number: Callable[[int], bytes], decode: bool = True):
-        self.codec, self.decode = codec, decode
+    By chunk they are kept until ``recent`` blocks of text are read, by piece as long again: more saves work and takes memory.
+    """
+
+    def __init__(self, codec: Codec, number: Callable[[int], bytes], decode: bool = True, recent: float = 0.5):
+        self.codec, self.decode, self.recent = codec, decode, recent
         self.number = {i: number(i) for i in codec.tokens}
         self.ids: dict[str, bytes] = {}
         self.raw: dict[str, bytes] = {}
         self.pieces: tuple[dict, dict] = ({}, {})
         self.old: tuple[dict, dict] = ({}, {})
         self.long: list[str] = []
-        #: Characters of the texts whose pieces are in ``pieces``.
+        #: Characters of the texts whose chunks are in ``ids`` and whose pieces are in ``pieces``.
         self.read = 0
 
     def both(self, ids: Iterable[int]) -> tuple[bytes, bytes]:
@@ -366,6 +369,7 @@ class Written:
         new = [x for x in chunks.difference(self.ids) if x and not x[0].isspace() and not x[-1].isspace()]
         if not new:
             return
+        self.long += [x for x in new if len(x) > LONG]
         # One text of all new chunks: a piece that begins with a space begins a chunk.
         pieces = self.codec.pattern.findall(" " + " ".join(new))
         self.learn(set(pieces))
@@ -376,14 +380,13 @@ class Written:
                 out[x] = found[pieces[lo]] if hi - lo == 1 else b"".join([found[p] for p in pieces[lo:hi]])
 
     def tidy(self) -> None:
-        """Drop the chunks, and pieces last used more than a block of text ago: so memory is bounded, and what is frequent is kept."""
-        self.ids, self.raw = {}, {}
-        for p in self.long:
-            for kept in self.pieces:
-                kept.pop(p, None)
+        """Drop what was last used too much text ago: so memory is bounded, and what is frequent is kept."""
+        for x in self.long:
+            for kept in (self.ids, self.raw, *self.pieces):
+                kept.pop(x, None)
         self.long.clear()
-        if self.read >= BLOCK // 2:
-            self.old, self.pieces, self.read = self.pieces, ({}, {}), 0
+        if self.read >= self.recent * BLOCK:
+            self.old, self.pieces, self.ids, self.raw, self.read = self.pieces, ({}, {}), {}, {}, 0
 
     def block(self, texts: list[str]) -> Iterator[Iterator[tuple[bytes, bytes]]]:
         """The parts of each text. All new chunks of the block, and the beginnings of its texts, are one corpus."""
@@ -427,7 +430,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     schema = arrow_schema(DIGESTS)
 
     def run(batches):
-        written = Written(codec(raw.value, pattern), lambda i: b" %d" % i)
+        written = Written(codec(raw.value, pattern), lambda i: b" %d" % i, recent=4)
         for b in batches:
             for part in slices(b, 1, BLOCK):
                 rows = []
