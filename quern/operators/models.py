@@ -39,8 +39,8 @@ def loaded(key: str, make: Callable[[], object]) -> object:
     return _LOADED[key]
 
 
-def language_column(caption: Column, key: str, make: Callable[[], LanguageScorer]) -> Column:
-    """struct(label, score) of a language model; null captions stay null. Marked non-deterministic, as tags_column() is."""
+def language_column(caption: Column, key: str, make: Callable[[], LanguageScorer], strip: bool = True) -> Column:
+    """struct(label, score) of a language model, which sees captions as one line; null captions stay null. Marked non-deterministic, as tags_column() is."""
 
     @F.pandas_udf("label string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -53,7 +53,7 @@ def language_column(caption: Column, key: str, make: Callable[[], LanguageScorer
             out.loc[good.to_numpy(), "score"] = [float(x) for _, x in found]
             yield out
 
-    return run.asNondeterministic()(text.one_line(caption))
+    return run.asNondeterministic()(text.one_line(caption, strip))
 
 
 def tags_column(caption: Column, key: str, make: Callable[[], PosTagger]) -> Column:
