@@ -28,6 +28,6 @@ def equal(spark, name, d, tables=("documents",)):
     assert sorted(tuple(map(shown, r)) for r in df.select(*columns).collect()) == sorted(tuple(map(shown, r)) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["language_adapter"])
+@pytest.mark.parametrize("name", ["language_adapter", "one_line_captions"])
 def test_ends_stay_where_sql_keeps_them(spark, odd, name):
     equal(spark, name, odd)
