@@ -7,12 +7,14 @@ score, universal tags, pair scores) so that real models can take their place.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import reduce
+from itertools import accumulate, chain
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import text
@@ -135,55 +137,109 @@ TAG_RULES = (
 )
 
 
+#: Rows worked on at a time, words that a worker remembers the tags of, and code points of the longest such word.
+ROWS, REMEMBERED, LONGEST = 512, 1 << 17, 64
+_HITS = {w: tuple(i for i, known in enumerate(STOP_WORDS.values()) if w in known) for w in chain(*STOP_WORDS.values())}
+
+
+def language_of(caption: str) -> tuple[str, float]:
+    """(label, score): the language whose frequent words occur most, and its share of all such hits; ties by code."""
+    hits = [0] * len(STOP_WORDS)
+    lower = caption.replace("\u0130", "i").lower()  # one code point stays one, as in the SQL
+    for w, n in Counter(filter(_HITS.__contains__, lower.split())).items():
+        for i in _HITS[w]:
+            hits[i] += n
+    best, total = max(hits), sum(hits)
+    return f"__label__{[*STOP_WORDS][hits.index(best)]}", best / total if total else 0.0
+
+
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for a in batches:
+        for lo in range(0, len(a), ROWS):
+            yield a.slice(lo, ROWS)
+
+
 def stand_in_language(caption: Column) -> Column:
-    """struct(label, score): the language whose frequent words occur most, and its share of all such hits; ties by code; nulls for a null caption."""
-    codes = F.array(*(F.lit(f"__label__{k}") for k in STOP_WORDS))
-    lists = F.array(*(F.array(*map(F.lit, v)) for v in STOP_WORDS.values()))
+    """struct(label, score) as language_of() says; nulls for a null caption. Marked non-deterministic, so that filters on both parts don't work it out twice."""
+    from quern.plans.shipping import ship
+
+    ship(SparkSession.active())
+
+    @F.arrow_udf("label string, score double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for a in _slices(batches):
+            found = [language_of(x.as_py()) if x.is_valid else (None, None) for x in a]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names=["label", "score"])
+
+    return run.asNondeterministic()(caption)
 
-    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-        """use(value) with value computed once."""
-        return F.transform(F.array(value), use)[0]
 
-    def judged(hits: Column) -> Column:
-        best, total = F.array_max(hits), F.aggregate(hits, F.lit(0), lambda a, b: a + b)
-        share = F.coalesce(F.try_divide(best.cast("double"), total.cast("double")), F.lit(0.0))
-        return F.struct(F.element_at(codes, F.array_position(hits, best).cast("int")).alias("label"), share.alias("score"))
+def _python_rule(rule: str) -> re.Pattern:
+    """A rule of TAG_RULES for Python. Without regard to case, RE2 takes the long s for an s, Python also marks with and without a dot for an i."""
+    rule = rule.replace(r"\x{80}-\x{10ffff}", "\x80-\U0010ffff")
+    if m := re.fullmatch(r"\^\(\?i:([a-z|]+)\)(.*)", rule):
+        rule = "^(" + "".join(c if c == "|" else f"[{c}{c.upper()}{chr(0x17F) if c == 's' else ''}]" for c in m[1]) + ")" + m[2]
+    return re.compile(rule)
 
-    def counted(ws: Column) -> Column:
-        return F.transform(lists, lambda known: F.size(F.filter(ws, lambda w: F.array_contains(known, w))))
 
-    nulls = F.struct(F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("score"))
-    return F.coalesce(F.when(caption.isNotNull(), bound(text.words(F.lower(caption)), lambda ws: bound(counted(ws), judged))), nulls)
+_PYTHON_RULES = [_python_rule(rule) for _, rule in TAG_RULES]
+_PLACES = {name: i for i, (name, _) in enumerate(TAG_RULES)}
+#: Word or ending to the place of its tag, from those rules that are lists of words or of endings; no word has two of these endings.
+_LISTED = {w: i for i, (_, rule) in enumerate(TAG_RULES) if (m := re.fullmatch(r"\^\(\?i:([a-z|]+)\)\[\.,\]\?\$", rule)) for w in m[1].split("|")}
+_ENDINGS = {w: i for i, (_, rule) in enumerate(TAG_RULES) if (m := re.fullmatch(r"\(?([a-z|]+)\)?\[\.,\]\?\$", rule)) for w in m[1].split("|")}
+_LONGEST_LISTED = max(map(len, _LISTED))
+_LETTER = re.compile("[A-Za-z\x80-\U0010ffff]")
 
 
-def _word_lists() -> dict[str, str]:
-    """Word to tag, from those rules that are plain lists of words."""
-    return {w: name for name, rule in TAG_RULES if (m := re.fullmatch(r"\^\(\?i:([a-z|]+)\)\[\.,\]\?\$", rule)) for w in m[1].split("|")}
+def tag_number(w: str) -> int:
+    """The place of the first rule that holds for a word; for one with a letter by lookups, as texts have ever new words."""
+    if not (w[0].isalpha() or _LETTER.search(w)):
+        return next(i for i, rule in enumerate(_PYTHON_RULES) if rule.search(w))
+    bare = w[:-1] if w[-1] in ".," else w
+    found = _LISTED.get(bare.replace("\u017f", "s").lower()) if len(bare) <= _LONGEST_LISTED else None
+    if found is None:
+        found = _ENDINGS.get(bare[-2:])
+    if found is None:
+        found = _ENDINGS.get(bare[-3:])
+    return found if found is not None else _PLACES["PROPN"] if "A" <= w[0] <= "Z" else _PLACES["NOUN"]
 
 
-def _endings() -> list[tuple[str, list[str]]]:
-    """(tag, endings), from those rules that are lists of endings."""
-    return [(name, m[1].split("|")) for name, rule in TAG_RULES if (m := re.fullmatch(r"\(?([a-z|]+)\)?\[\.,\]\?\$", rule))]
+class _TagNumbers(dict):
+    """Word to tag_number(); remembers short words, so many at most."""
 
+    def __missing__(self, w: str) -> int:
+        found = tag_number(w)
+        if len(w) <= LONGEST and len(self) < REMEMBERED:
+            self[w] = found
+        return found
 
-def stand_in_tags(caption: Column) -> Column:
-    """array of tags, one a word, as TAG_RULES say.
 
-    Words with a letter skip the rules for marks and numbers; lists of words are one map lookup, endings plain comparisons.
+_TAG_NUMBERS = _TagNumbers()
+
+
+def tag_numbers(caption: str) -> bytes:
+    """The place in TAG_RULES of each word's tag."""
+    return bytes(map(_TAG_NUMBERS.__getitem__, caption.split()))
+
+
+def stand_in_tags(caption: Column, distinct: bool = False) -> Column:
+    """array of tags, one a word, as TAG_RULES say; null for a null caption. Marked non-deterministic, so that each caption is tagged once whatever filters read.
+
+    ``distinct``: each tag once, for those who ask which tags occur; arrays of a few tags then leave Python, not one string a word.
     """
-    rules = dict(TAG_RULES)
-    lists = F.create_map(*(F.lit(x) for pair in _word_lists().items() for x in pair))
-
-    def lettered(w: Column) -> Column:
-        bare = F.when(w.endswith(".") | w.endswith(","), F.substring(w, 1, F.length(w) - 1)).otherwise(w)
-        by_end = None
-        for name, ends in _endings():
-            hit = reduce(Column.__or__, (bare.endswith(e) for e in ends))
-            by_end = F.when(hit, name) if by_end is None else by_end.when(hit, name)
-        return F.coalesce(F.try_element_at(lists, F.lower(bare)), by_end.when(w.rlike(rules["PROPN"]), "PROPN").otherwise("NOUN"))
-
-    def tag(w: Column) -> Column:
-        bare = F.when(w.rlike(rules["PUNCT"]), "PUNCT").when(w.rlike(rules["NUM"]), "NUM").otherwise("NOUN")
-        return F.when(w.rlike(r"[A-Za-z\x{80}-\x{10ffff}]"), lettered(w)).otherwise(bare)
-
-    return F.transform(text.words(caption), tag)
+    from quern.plans.shipping import ship
+
+    ship(SparkSession.active())
+
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names = pa.array([name for name, _ in TAG_RULES])
+        for a in _slices(batches):
+            found = [tag_numbers(x.as_py()) if x.is_valid else None for x in a]
+            if distinct:
+                found = [None if x is None else bytes(dict.fromkeys(x)) for x in found]
+            ends = [0, *accumulate(len(x or b"") for x in found)]
+            numbers = pa.Array.from_buffers(pa.int8(), ends[-1], [None, pa.py_buffer(b"".join(x or b"" for x in found))])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(numbers), mask=pa.array([x is None for x in found]))
+
+    return run.asNondeterministic()(caption)

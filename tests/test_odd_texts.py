@@ -6,8 +6,9 @@ import pyarrow.parquet as pq
 import pytest
 
 from quern import catalog
+from quern.operators import models
 
-TEXTS = ["  lead", "trail \n", "\n a\nb \t", "", " ", None, "　wide　", " x\u0085", "a\r\nb", "the  cat\tsat", "\U0001f600 two"]
+TEXTS = ["  lead", "trail \n", "\n a\nb \t", "", " ", None, "　wide　", " x\u0085", "a\r\nb", "the  cat\tsat", "\U0001f600 two", "thi\u017f Big table runs", "\u0130N the der", "a|b 1,2. ... x2 Grande fast. the, quickly"]
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +32,23 @@ def equal(spark, name, d, tables=("documents",)):
 @pytest.mark.parametrize("name", ["language_adapter", "one_line_captions"])
 def test_ends_stay_where_sql_keeps_them(spark, odd, name):
     equal(spark, name, odd)
+
+
+@pytest.mark.parametrize("name", ["descriptive_filter", "pos_pattern_filter", "pos_signature", "pos_counts", "pattern_mining", "language_struct", "confident_caption_filter", "caption_length_filter"])
+def test_stand_ins_read_odd_texts_as_sql_does(spark, odd, name):
+    equal(spark, name, odd)
+
+
+@pytest.mark.parametrize(("name", "runs"), [("descriptive_filter", 1), ("pos_pattern_filter", 2), ("pos_signature", 1), ("confident_caption_filter", 1)])
+def test_each_caption_is_judged_once(spark, odd, name, runs):
+    """In one Python pass, and not in lambdas over its words."""
+    plan = catalog.QUERIES[name](spark, odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == runs
+    assert "rlike" not in plan.lower() and "try_element_at" not in plan and "split(" not in plan.split("ArrowEvalPython")[-1]
+
+
+def test_tags_by_lookup_are_those_of_the_rules():
+    ends = ["", ".", ",", ",.", "..", "-"]
+    words = {a + b + c for a in ["", "x", "X", "\u00e9", "\u0130", "1", "#", "."] for b in ["", *models._LISTED, *models._ENDINGS, "thi\u017f", "THE", "ING", "2,3"] for c in ends} - {""}
+    for w in words:
+        assert models.tag_number(w) == next(i for i, rule in enumerate(models._PYTHON_RULES) if rule.search(w)), w
